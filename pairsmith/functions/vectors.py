@@ -6,15 +6,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-POOLING = ("mean", "cls")
-
-
-def check_pooling(strategy: str) -> str:
-    if strategy not in POOLING:
-        raise ValueError(f"unknown pooling strategy {strategy!r}, expected one of {POOLING}")
-    return strategy
-
+from pairsmith.functions.kernels import check_pooling
 
 def truncate_tokens(tokens: Column, max_length: int) -> Column:
     return F.slice(tokens, 1, max_length)
@@ -28,7 +22,7 @@ def l2_normalise(vector: Column) -> Column:
     return F.zip_with(vector, norms, lambda x, n: x.cast("double") / n)
 
 
-@F.arrow_udf("array<double>")
+@F.arrow_udf(T.ArrayType(T.DoubleType()))
 def _masked_mean(tokens: pa.Array, mask: pa.Array) -> pa.Array:
     # One pass over the flat child buffers of the batch; no Python object per token.
     rows = len(tokens)
@@ -68,19 +62,3 @@ def pool_cls(tokens: Column, mask: Column | None = None) -> Column:
 
 def pool(tokens: Column, mask: Column, strategy: str) -> Column:
     return {"mean": pool_mean, "cls": pool_cls}[check_pooling(strategy)](tokens, mask)
-
-
-def pool_batch(hidden: np.ndarray, mask: np.ndarray, strategy: str) -> np.ndarray:
-    """Pool one model batch ``[rows, tokens, dim]`` inside a task."""
-    if strategy == "cls":
-        return hidden[:, 0]
-    keep = mask.astype(bool)[..., None]
-    with np.errstate(invalid="ignore", divide="ignore"):
-        return np.where(keep, hidden, 0).sum(axis=1) / mask.sum(axis=1)[:, None]
-
-
-def normalise_batch(vectors: np.ndarray) -> np.ndarray:
-    """Unit-length rows of one model batch; zero rows stay zero."""
-    vectors = np.asarray(vectors, dtype=np.float64)
-    norms = np.sqrt((vectors * vectors).sum(axis=1))
-    return vectors / np.maximum(norms, 1e-12)[:, None]

@@ -13,6 +13,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pairsmith.functions.binding import let, only_if
 from pairsmith.functions.strict_json import parse_closed, parse_strict
@@ -105,7 +106,7 @@ def read_json(df: DataFrame, output: str = "output") -> DataFrame:
 
 def collect_json(df: DataFrame, output: str = "output") -> DataFrame:
     """The rows of ``read_json`` that hold a value."""
-    return read_json(df, output).where(~F.is_variant_null("parsed"))
+    return read_json(df, output).where(F.col("parsed").isNotNull() & ~F.is_variant_null("parsed"))
 
 
 def read_list(df: DataFrame, output: str = "output") -> DataFrame:
@@ -144,7 +145,7 @@ def _list_of(reply: str) -> dict | None:
     return None
 
 
-@F.arrow_udf("parse_branch string, ideas array<string>")
+@F.arrow_udf(T.StructType().add("parse_branch", T.StringType()).add("ideas", T.ArrayType(T.StringType())))
 def _list_by_grammar(replies: pa.Array) -> pa.Array:
     found = [None if reply is None else _list_of(reply) for reply in replies.to_pylist()]
     return pa.array(found, _IDEAS_TYPE)

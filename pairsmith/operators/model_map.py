@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pairsmith.functions import vectors
+from pairsmith.functions.kernels import check_pooling, normalise_batch, pool_batch
 
 # A generator maps prompts and their sampling parameters to replies; a prompt is a list of chat
 # messages or a plain text. An embedder maps texts to vectors [n, d], or to token vectors
@@ -138,7 +138,7 @@ def embed(df: DataFrame, config: EmbeddingConfig, texts: dict[str, str], keep: l
     Token vectors are pooled by the configured strategy, and vectors are scaled to unit length.
     """
     factory = _lookup(_embedders, config.model_type, "embedder")
-    strategy = vectors.check_pooling(config.pooling_strategy)
+    strategy = check_pooling(config.pooling_strategy)
     options = {**config.options, "max_length": config.max_length}
     batch_size, normalize = config.batch_size, config.normalize
     keep = df.columns if keep is None else keep
@@ -149,10 +149,10 @@ def embed(df: DataFrame, config: EmbeddingConfig, texts: dict[str, str], keep: l
         blocks = []
         for part in _chunks(len(words), batch_size):
             got = model(words[part])
-            block = vectors.pool_batch(got[0], got[1], strategy) if isinstance(got, tuple) else np.asarray(got)
+            block = pool_batch(got[0], got[1], strategy) if isinstance(got, tuple) else np.asarray(got)
             if len(block) != len(words[part]):
                 raise ValueError(f"the model gave {len(block)} vectors for {len(words[part])} texts")
-            blocks.append(vectors.normalise_batch(block) if normalize else block)
+            blocks.append(normalise_batch(block) if normalize else block)
         matrix = np.concatenate(blocks).astype(np.float32)
         offsets = np.arange(len(matrix) + 1, dtype=np.int32) * matrix.shape[1]
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(matrix.reshape(-1)))

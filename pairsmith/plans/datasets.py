@@ -6,7 +6,6 @@ from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from pairsmith.operators.collect import distinct_ideas
 from pairsmith.operators.model_map import EmbeddingConfig, GenerationConfig, generate
@@ -76,6 +75,7 @@ def build(spark: SparkSession, data_type: str, config: DatasetConfig) -> DataFra
 
 def build_all(spark: SparkSession, configs: dict[str, DatasetConfig]) -> DataFrame:
     """All data types in order, stopping at the first error, as one table with ``data_type``."""
-    assert set(configs) <= set(REPLY_KEYS)
+    for name in set(configs) - set(REPLY_KEYS):
+        raise ValueError(f"unknown data type {name!r}")
     parts = [build(spark, name, configs[name]) for name in RUN_ORDER if name in configs]
-    return reduce(DataFrame.unionByName, parts).withColumn("data_type", F.col("data_type"))
+    return reduce(DataFrame.unionByName, parts)

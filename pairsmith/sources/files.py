@@ -89,7 +89,9 @@ def write_table(df: DataFrame, path: str, output_format: str, mode: str = "overw
     if output_format == "jsonl":
         df.write.mode(mode).option("ignoreNullFields", "false").json(path)
     else:
-        _flat(df).write.mode(mode).option("header", True).option("quote", '"').option("escape", '"').csv(path)
+        writer = _flat(df).write.mode(mode).option("header", True).option("quote", '"').option("escape", '"')
+        # The writer trims cells unless told otherwise.
+        writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def run_step(spark: SparkSession, build: Callable[[], DataFrame], path: str | None = None,
