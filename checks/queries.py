@@ -18,7 +18,7 @@ from pairsmith.operators.sampling import constraint_filter, draw_indices, draw_v
 from pairsmith.operators.schema import PromptSchema
 from pairsmith.operators.triples import REPLY_KEYS, derive_instruction, judge, rejected, triples
 from pairsmith.plans import presets
-from pairsmith.session import materialise, shared_folder
+from pairsmith.session import materialise, shared_folder, spread
 from pairsmith.sources.files import read_csv, read_jsonl, run_step, write_json_array
 from pairsmith.sources.value_list import from_table, read_value_list
 
@@ -45,7 +45,7 @@ def new_path(spark: SparkSession, label: str) -> str:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``id`` and text without the characters that replies use as marks."""
-    return table(spark, sf_dir, "documents", F.col("doc_id").alias("id"), clean("text").alias("text"), "lang", "source")
+    return spread(table(spark, sf_dir, "documents", F.col("doc_id").alias("id"), clean("text").alias("text"), "lang", "source"))
 
 
 def ids(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
@@ -295,11 +295,12 @@ def topk_neighbours(spark, sf_dir):
 def pairwise_similarity(spark, sf_dir):
     """The three documents most similar to every conversation turn."""
     turns = table(spark, sf_dir, "conversations",
-                  (F.col("conv_id") * 1000 + F.col("turn")).alias("q"), clean("text").alias("text"))
-    queries = materialise(embed(turns, WORDS, {"text": "vector"}, keep=["q"]), "turn-vectors")
-    docs = documents(spark, sf_dir).select(F.col("id").alias("d"), "text")
-    corpus = materialise(embed(docs, WORDS, {"text": "vector"}, keep=["d"]), "document-vectors")
-    return neighbours.exploded(neighbours.top_k(queries, corpus, 3))
+                  (F.col("conv_id") * 1000 + F.col("turn")).alias("id"), clean("text").alias("text"))
+    queries = materialise(embed(turns, WORDS, {"text": "vector"}, keep=["id"]), "turn-vectors")
+    docs = documents(spark, sf_dir).select("id", "text")
+    corpus = materialise(embed(docs, WORDS, {"text": "vector"}, keep=["id"]), "document-vectors")
+    found = neighbours.top_k(queries.withColumnRenamed("id", "q"), corpus.withColumnRenamed("id", "d"), 3)
+    return neighbours.exploded(found)
 
 
 def mined_negatives(spark, sf_dir):

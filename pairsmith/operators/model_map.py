@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pairsmith.functions.kernels import check_pooling, normalise_batch, pool_batch
+from pairsmith.session import spread
 
 # A generator maps prompts and their sampling parameters to replies; a prompt is a list of chat
 # messages or a plain text. An embedder maps texts to vectors [n, d], or to token vectors
@@ -88,8 +89,8 @@ def chat_messages(text: Column, system_prompt: str | None = None) -> Column:
 
 
 def _spread(df: DataFrame, concurrency: int | None) -> DataFrame:
-    """Split over ``concurrency`` tasks by id; hashing keeps the split the same when a task is retried."""
-    return df.repartition(concurrency, "id") if concurrency else df
+    """Split over ``concurrency`` tasks by id, or over all cores if the table has too few splits."""
+    return df.repartition(concurrency, "id") if concurrency else spread(df)
 
 
 def _chunks(length: int, size: int | None) -> Iterator[slice]:

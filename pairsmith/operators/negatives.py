@@ -41,7 +41,7 @@ def embed_triples(df: DataFrame, config: HardNegativeConfig) -> DataFrame:
 
 def _key(text: Column) -> Column:
     """Stands for a text where only equality matters, so that long texts are not shuffled."""
-    return F.sha2(text, 256)
+    return F.unhex(F.sha2(text, 256))
 
 
 def choose(rows: DataFrame, config: HardNegativeConfig) -> DataFrame:
@@ -97,7 +97,8 @@ def next_other(rows: DataFrame) -> DataFrame:
         if place in first_of:
             ahead = second if first and first[1] == first_of[place][1] else first
             first, second = first_of[place], second_of.get(place) or ahead
-    tail = spark.createDataFrame(list(tails.values()), "range int, id1 long, key1 string, id2 long, key2 string")
+    kind = dict(rows.dtypes)["key"]
+    tail = spark.createDataFrame(list(tails.values()), f"range int, id1 long, key1 {kind}, id2 long, key2 {kind}")
 
     answer = (
         F.when(F.col("next.key") != F.col("key"), F.col("next.id"))

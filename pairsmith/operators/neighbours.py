@@ -32,6 +32,8 @@ TILE_ROWS = 2048      # expected rows per side of a tile
 MAX_PIVOTS = 2048     # bounds what the driver and every task hold: pivots, and one row per group
 DIGITS = 6
 SLACK = 2 * 10.0**-DIGITS
+BLOCK_COLUMNS = 32
+FEW_PAIRS = 2**30     # up to here (256 pairs of tiles) all tiles meet, which costs less than choosing
 
 
 def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -141,6 +143,37 @@ def _per_cell(pieces: dict[int, int], cell: Column) -> Column:
     return F.coalesce(F.try_element_at(table, cell.cast("string")), F.lit(1))
 
 
+def _tile_top(products: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, column and rounded score of the k best entries of each row, ties to the lower id.
+
+    The k-th largest maximum of column blocks is a cheap lower bound for the k-th best entry, and
+    few entries reach it. Where many do (equal vectors), an exact selection over all entries is
+    cheaper than sorting them.
+    """
+    rows, columns = products.shape
+    scale = 10.0**DIGITS
+    blocks = columns // BLOCK_COLUMNS
+    if blocks > k:
+        tops = products[:, :blocks * BLOCK_COLUMNS].reshape(rows, blocks, BLOCK_COLUMNS).max(axis=2)
+        floor = np.partition(tops, blocks - k, axis=1)[:, blocks - k]
+        hit = products >= (floor - SLACK)[:, None]
+        if np.count_nonzero(hit) <= rows * (k + 64):
+            row, column = np.nonzero(hit)
+            rounded = np.rint(products[row, column] * scale)
+            order = np.lexsort((ids[column], -rounded, row))
+            row, column, rounded = row[order], column[order], rounded[order]
+            start = np.searchsorted(row, row, side="left")
+            best = np.arange(len(row)) - start < k
+            return row[best], column[best], rounded[best] / scale
+    # One integer per entry that sorts by rounded score and then by lower id.
+    rounded = np.rint(products * scale).astype(np.int64)
+    rank_of_id = np.argsort(np.argsort(-ids))
+    keep = min(k, columns)
+    best = np.argpartition(rounded * columns + rank_of_id, columns - keep, axis=1)[:, columns - keep:]
+    row = np.repeat(np.arange(rows), keep)
+    return row, best.reshape(-1), np.take_along_axis(rounded, best, axis=1).reshape(-1) / scale
+
+
 def _cell_counts(visits: DataFrame) -> dict[int, int]:
     return {r["cell"]: r["count"] for r in visits.groupBy("cell").count().collect()}  # at most MAX_PIVOTS rows
 
@@ -168,20 +201,12 @@ def _tile_join(visits: DataFrame, visit_counts: dict[int, int], corpus: DataFram
     keys = ["cell", "qp", "dp"]
 
     def meet(queries: pa.Table, docs: pa.Table) -> pa.Table:
-        docs = docs.sort_by("d")
-        rows, columns = queries.num_rows, docs.num_rows
-        if not rows or not columns:
-            return pa.Table.from_batches([], schema=result)
+        if not queries.num_rows or not docs.num_rows:
+            return result.empty_table()
         products = _matrix(queries.column("vector")) @ _matrix(docs.column("vector")).T
-        # One integer per pair that sorts by rounded score and then by lower id.
-        rounded = np.rint(products * 10.0**DIGITS).astype(np.int64)
-        order = rounded * columns + np.arange(columns - 1, -1, -1)
-        keep = min(k, columns)
-        best = np.argpartition(order, columns - keep, axis=1)[:, columns - keep:]
-        flat = best.reshape(-1)
-        score = np.take_along_axis(rounded, best, axis=1).reshape(-1) / 10.0**DIGITS
-        chosen = docs.select(["d", *payload]).take(pa.array(flat))
-        q = queries.column("q").take(pa.array(np.repeat(np.arange(rows), keep)))
+        rows, columns, score = _tile_top(products, docs.column("d").to_numpy(), k)
+        chosen = docs.select(["d", *payload]).take(pa.array(columns))
+        q = queries.column("q").take(pa.array(rows))
         return pa.table([q, chosen.column("d"), pa.array(score), *chosen.columns[1:]], schema=result)
 
     fields = [("q", pa.int64()), ("d", pa.int64()), ("score", pa.float64())]
@@ -236,9 +261,9 @@ def top_k(queries: DataFrame, corpus: DataFrame, k: int, payload: list[str] | No
     """
     payload = payload or []
     corpus_size, asked = corpus.count(), queries.count()
-    if pivots is None and corpus_size < 2 * TILE_ROWS and asked <= HOT_MINIMUM:
-        # The corpus is a tile or two: one group, and no key can be hot.
-        docs = _distinct_corpus(corpus, k).withColumn("cell", F.lit(0))
+    if pivots is None and corpus_size * asked <= FEW_PAIRS and max(corpus_size, asked) <= HOT_MINIMUM:
+        # One group of a bounded number of tiles, and no key can be hot.
+        docs = corpus.withColumn("cell", F.lit(0))
         visits = queries.select("q", "vector").withColumn("cell", F.lit(0))
         found = _tile_join(visits, {0: asked}, docs, {0: corpus_size}, k, payload)
         return queries.join(_lists(found, k, payload), "q", "left")

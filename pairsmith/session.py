@@ -43,3 +43,16 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, key: str = "id") -> DataFrame:
+    """Use all cores for a table that comes in fewer splits than there are cores.
+
+    A large table has enough splits and is left alone, so no shuffle is added at scale. Hashing by
+    a key, unlike dealing rows out in turn, sends a row to the same task when a stage is retried.
+    """
+    execution = df._jdf.queryExecution()
+    if key not in df.columns or "Exchange" in execution.executedPlan().toString():
+        return df  # the last shuffle has set the number of partitions; asking for it would run it
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if execution.toRdd().getNumPartitions() < cores else df
