@@ -28,20 +28,24 @@ class HardNegativeConfig:
     avoid_own_positive: bool = False
 
 
+def _marks(df: DataFrame) -> list[Column]:
+    """``key`` stands for the positive where only equality matters, so that texts are not shuffled."""
+    return [F.unhex(F.sha2("positive", 256)).alias("key"), is_blank(F.col("positive")).alias("blank")]
+
+
 def embed_triples(df: DataFrame, config: HardNegativeConfig) -> DataFrame:
-    """``(id, query_vector, positive_vector)``, written once: a lost executor must not cost model calls."""
+    """``(id, key, blank, query_vector, positive_vector)``, written once.
+
+    A lost executor must not cost model calls. The marks of the positive ride along, which saves a
+    join of the vectors with the triples.
+    """
     texts = df.select(
-        "id",
+        "id", *_marks(df),
         render_row(config.query_template, df.columns).alias("query_text"),
         render_row(config.document_template, df.columns).alias("document_text"),
     )
     both = {"query_text": "query_vector", "document_text": "positive_vector"}
-    return materialise(embed(texts, config.embedding, both, keep=["id"]), "vectors")
-
-
-def _key(text: Column) -> Column:
-    """Stands for a text where only equality matters, so that long texts are not shuffled."""
-    return F.unhex(F.sha2(text, 256))
+    return materialise(embed(texts, config.embedding, both, keep=["id", "key", "blank"]), "vectors")
 
 
 def choose(rows: DataFrame, config: HardNegativeConfig) -> DataFrame:
@@ -111,8 +115,10 @@ def next_other(rows: DataFrame) -> DataFrame:
 
 def pick_negatives(df: DataFrame, vectors: DataFrame, config: HardNegativeConfig) -> DataFrame:
     """``hard_negatives`` with given vectors: ``(id, query_vector, positive_vector)``, one row per triple."""
-    keyed = df.select("id", _key(F.col("positive")).alias("key"), is_blank(F.col("positive")).alias("blank"))
-    joined = materialise(keyed.join(vectors, "id"), "keyed-vectors")
+    if "key" in vectors.columns:
+        joined = vectors
+    else:
+        joined = materialise(df.select("id", *_marks(df)).join(vectors, "id"), "keyed-vectors")
     queries = joined.select(F.col("id").alias("q"), F.col("query_vector").alias("vector"), "key")
     corpus = joined.select(F.col("id").alias("d"), F.col("positive_vector").alias("vector"), "key", "blank")
     near = neighbours.top_k(queries, corpus, config.top_k, payload=["key", "blank"])

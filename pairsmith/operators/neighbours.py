@@ -52,14 +52,22 @@ def _unit(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return matrix / np.maximum(norms, 1e-300)[:, None], norms
 
 
+def _hashed(df: DataFrame) -> DataFrame:
+    """Equal vectors meet by hash and vector: the hash leads, so sorting rarely compares vectors."""
+    return df.withColumn("hash", F.xxhash64("vector"))
+
+
+VECTOR_KEY = ["hash", "vector"]
+
+
 def _distinct_corpus(corpus: DataFrame, k: int) -> DataFrame:
     """Of equal vectors the k lowest ids; the limit is applied before the shuffle as well."""
-    rank = F.row_number().over(Window.partitionBy("vector").orderBy("d"))
-    return corpus.withColumn("_copy", rank).where(F.col("_copy") <= k).drop("_copy")
+    rank = F.row_number().over(Window.partitionBy(*VECTOR_KEY).orderBy("d"))
+    return _hashed(corpus).withColumn("_copy", rank).where(F.col("_copy") <= k).drop("_copy", "hash")
 
 
 def _distinct_queries(queries: DataFrame) -> DataFrame:
-    return queries.groupBy("vector").agg(F.min("q").alias("q"), F.count(F.lit(1)).alias("count"))
+    return _hashed(queries).groupBy(*VECTOR_KEY).agg(F.min("q").alias("q"), F.count(F.lit(1)).alias("count"))
 
 
 def _pivots(corpus: DataFrame, count: int) -> np.ndarray:
@@ -224,7 +232,7 @@ def _best(partial: DataFrame, k: int) -> DataFrame:
 
 def _per_vector(queries: DataFrame, corpus: DataFrame, corpus_size: int, k: int, payload: list[str],
                 pivots: int | None) -> DataFrame:
-    """``(vector, count, neighbours)`` per distinct query vector."""
+    """``(hash, vector, count, neighbours)`` per distinct query vector."""
     docs = materialise(_distinct_corpus(corpus, k), "corpus")
     asked = materialise(_distinct_queries(queries), "queries")
     centres = _pivots(docs, pivots or min(MAX_PIVOTS, max(2, corpus_size // TILE_ROWS)))
@@ -243,7 +251,7 @@ def _per_vector(queries: DataFrame, corpus: DataFrame, corpus_size: int, k: int,
     floor = _best(near, k).groupBy("q").agg(F.min("score").alias("floor"))
     later = materialise(_visit(asked.join(floor, "q"), centres, stats, k, first=False), "visits")
     found = near.unionByName(_tile_join(later, _cell_counts(later), docs, sizes, k, payload))
-    return asked.join(_lists(found, k, payload), "q", "left").select("vector", "count", "neighbours")
+    return asked.join(_lists(found, k, payload), "q", "left").select(*VECTOR_KEY, "count", "neighbours")
 
 
 def _lists(found: DataFrame, k: int, payload: list[str]) -> DataFrame:
@@ -270,8 +278,9 @@ def top_k(queries: DataFrame, corpus: DataFrame, k: int, payload: list[str] | No
     per_vector = materialise(
         _per_vector(queries.select("q", "vector"), corpus, corpus_size, k, payload, pivots), "neighbours"
     )
-    hot = hot_hashes(per_vector, ["vector"])
-    return join_to_unique(queries, per_vector.drop("count"), ["vector"], "q", hot).select(*queries.columns, "neighbours")
+    hot = hot_hashes(per_vector, VECTOR_KEY)
+    joined = join_to_unique(_hashed(queries), per_vector.drop("count"), VECTOR_KEY, "q", hot)
+    return joined.select(*queries.columns, "neighbours")
 
 
 def exploded(matched: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from pairsmith.operators.negatives import HardNegativeConfig, hard_negatives
 from pairsmith.operators.schema import PromptSchema
 from pairsmith.operators.triples import REPLY_KEYS, triples
 from pairsmith.plans import presets
+from pairsmith.session import release
 from pairsmith.sources.files import REPLY_SCHEMA, TRIPLE_SCHEMA, read_jsonl, run_step
 
 BRAINSTORMED = ("short_short", "short_long", "long_short", "long_long")
@@ -70,6 +71,7 @@ def build(spark: SparkSession, data_type: str, config: DatasetConfig) -> DataFra
         mining = HardNegativeConfig(config.embedding, config.top_k, presets.QUERY_TEMPLATE, presets.DOCUMENT_TEMPLATE, config.seed)
         run_step(spark, lambda: hard_negatives(result, mining), at("final"), "jsonl", config.overwrite)
         result = read_jsonl(spark, at("final"), TRIPLE_SCHEMA)
+    release(spark)
     return result
 
 

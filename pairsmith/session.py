@@ -33,6 +33,9 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+_written: list[str] = []
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and continue from that table.
 
@@ -42,6 +45,7 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -56,3 +60,11 @@ def spread(df: DataFrame, key: str = "id") -> DataFrame:
         return df  # the last shuffle has set the number of partitions; asking for it would run it
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores, key) if execution.toRdd().getNumPartitions() < cores else df
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the tables that ``materialise`` has written. Call it once their results are stored."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    while _written:
+        target = hadoop(_written.pop())
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

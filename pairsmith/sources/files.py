@@ -26,7 +26,8 @@ def read_jsonl(spark: SparkSession, path: str, schema: str | T.StructType = REPL
 def read_csv(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
     """CSV with a header and quoted line breaks, as written by ``write_table``."""
     reader = spark.read.schema(schema).option("header", True).option("multiLine", True).option("mode", "FAILFAST")
-    return reader.option("quote", '"').option("escape", '"').csv(path)
+    # With a null mark that no cell holds, an empty cell is null and a quoted empty one is a text.
+    return reader.option("quote", '"').option("escape", '"').option("nullValue", "\u0000").csv(path)
 
 
 def check_format(output_format: str) -> str:
