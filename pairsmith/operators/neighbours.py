@@ -33,7 +33,7 @@ MAX_PIVOTS = 2048     # bounds what the driver and every task hold: pivots, and
 DIGITS = 6
 SLACK = 2 * 10.0**-DIGITS
 BLOCK_COLUMNS = 32
-FEW_PAIRS = 2**30     # up to here (256 pairs of tiles) all tiles meet, which costs less than choosing
+FEW_PAIRS = 2**32     # up to here (1024 pairs of tiles) all tiles meet, which costs less than choosing
 
 
 def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -103,7 +103,7 @@ def _assign(df: DataFrame, pivots: np.ndarray) -> DataFrame:
 
 
 def _visit(queries: DataFrame, pivots: np.ndarray, stats: dict[str, np.ndarray], k: int, first: bool) -> DataFrame:
-    """One row ``(q, vector, cell)`` per group that a query has to meet.
+    """``(q, vector, cells)``: the groups that a query has to meet, still one row per query.
 
     ``first``: its nearest groups that hold k vectors together. Otherwise: the other groups whose
     bound reaches the ``floor`` column, the k-th best score so far.
@@ -128,14 +128,11 @@ def _visit(queries: DataFrame, pivots: np.ndarray, stats: dict[str, np.ndarray],
                     bound = norms[:, None] * s["norm"] * np.maximum(np.cos(gap), 0)
                     floor = part.column("floor").to_numpy(zero_copy_only=False)
                     meet = ~opening & (s["count"] > 0) & (bound >= floor[:, None] - SLACK)
-                rows, cells = np.nonzero(meet)
-                chosen = part.take(pa.array(rows))
-                yield pa.RecordBatch.from_arrays(
-                    [chosen.column("q"), chosen.column("vector"), pa.array(cells.astype(np.int32))],
-                    names=["q", "vector", "cell"],
-                )
+                offsets = np.concatenate([[0], np.cumsum(meet.sum(axis=1))]).astype(np.int32)
+                cells = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.nonzero(meet)[1].astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([part.column("q"), part.column("vector"), cells], names=["q", "vector", "cells"])
 
-    return queries.mapInArrow(run, "q long, vector array<float>, cell int")
+    return queries.mapInArrow(run, "q long, vector array<float>, cells array<int>")
 
 
 def _pieces(counts: dict[int, int]) -> dict[int, int]:
@@ -183,7 +180,8 @@ def _tile_top(products: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray
 
 
 def _cell_counts(visits: DataFrame) -> dict[int, int]:
-    return {r["cell"]: r["count"] for r in visits.groupBy("cell").count().collect()}  # at most MAX_PIVOTS rows
+    counts = visits.select(F.explode("cells").alias("cell")).groupBy("cell").count()
+    return {r["cell"]: r["count"] for r in counts.collect()}  # at most MAX_PIVOTS rows
 
 
 def _tile_join(visits: DataFrame, visit_counts: dict[int, int], corpus: DataFrame, corpus_counts: dict[int, int],
@@ -203,7 +201,7 @@ def _tile_join(visits: DataFrame, visit_counts: dict[int, int], corpus: DataFram
     def every(pieces: dict[int, int]) -> Column:
         return F.explode(F.sequence(F.lit(0), _per_cell(pieces, cell) - 1))
 
-    left = visits.withColumn("qp", own(query_pieces, "q")).withColumn("dp", every(corpus_pieces))
+    left = visits.select("q", "vector", F.explode("cells").alias("cell")).withColumn("qp", own(query_pieces, "q")).withColumn("dp", every(corpus_pieces))
     right = corpus.select("d", "vector", "cell", *payload).where(cell.isin(list(visit_counts)))
     right = right.withColumn("dp", own(corpus_pieces, "d")).withColumn("qp", every(query_pieces))
     keys = ["cell", "qp", "dp"]
@@ -272,7 +270,7 @@ def top_k(queries: DataFrame, corpus: DataFrame, k: int, payload: list[str] | No
     if pivots is None and corpus_size * asked <= FEW_PAIRS and max(corpus_size, asked) <= HOT_MINIMUM:
         # One group of a bounded number of tiles, and no key can be hot.
         docs = corpus.withColumn("cell", F.lit(0))
-        visits = queries.select("q", "vector").withColumn("cell", F.lit(0))
+        visits = queries.select("q", "vector", F.array(F.lit(0)).alias("cells"))
         found = _tile_join(visits, {0: asked}, docs, {0: corpus_size}, k, payload)
         return queries.join(_lists(found, k, payload), "q", "left")
     per_vector = materialise(
