@@ -99,13 +99,6 @@ FROM (SELECT *, 'This is your task: about ' || source || chr(10) || 'in ' || lan
 
 # --- vectors ---------------------------------------------------------------------------------
 
-def word_vector(words: str) -> str:
-    """Unit-length bucket counts of a text, as 32-bit values widened to doubles."""
-    counts = (f"list_transform(range(64), lambda b: len(list_filter(list_transform(string_split({words}, ' '), "
-              "lambda w: ('0x' || substr(md5(w), 1, 8))::UBIGINT % 64), lambda x: x = b))::DOUBLE)")
-    return counts
-
-
 def word_vectors(name: str, source: str, key: str, words: str) -> str:
     return f"""{name}_buckets AS (SELECT {key} AS id, list_transform(string_split({words}, ' '),
   lambda w: (('0x' || substr(md5(w), 1, 8))::UBIGINT % 64)::INT) AS buckets FROM {source}),

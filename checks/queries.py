@@ -128,7 +128,7 @@ def chat_prompts(spark, sf_dir):
 
 def restore_order(spark, sf_dir):
     shuffled = table(spark, sf_dir, "documents", "doc_id", "source").repartition(7, "source")
-    return dense_index(shuffled, [F.col("doc_id")], name="place")[0].select("doc_id", "place")
+    return dense_index(shuffled, [F.col("doc_id")], name="place", unique=True)[0].select("doc_id", "place")
 
 
 # --- replies ---------------------------------------------------------------------------------

@@ -60,6 +60,10 @@ def _hashed(df: DataFrame) -> DataFrame:
 VECTOR_KEY = ["hash", "vector"]
 
 
+def _no_floor() -> Column:
+    return F.lit(float("-inf"))
+
+
 def _distinct_corpus(corpus: DataFrame, k: int) -> DataFrame:
     """Of equal vectors the k lowest ids; the limit is applied before the shuffle as well."""
     rank = F.row_number().over(Window.partitionBy(*VECTOR_KEY).orderBy("d"))
@@ -103,7 +107,7 @@ def _assign(df: DataFrame, pivots: np.ndarray) -> DataFrame:
 
 
 def _visit(queries: DataFrame, pivots: np.ndarray, stats: dict[str, np.ndarray], k: int, first: bool) -> DataFrame:
-    """``(q, vector, cells)``: the groups that a query has to meet, still one row per query.
+    """``(q, vector, floor, cells)``: the groups that a query has to meet, still one row per query.
 
     ``first``: its nearest groups that hold k vectors together. Otherwise: the other groups whose
     bound reaches the ``floor`` column, the k-th best score so far.
@@ -130,9 +134,10 @@ def _visit(queries: DataFrame, pivots: np.ndarray, stats: dict[str, np.ndarray],
                     meet = ~opening & (s["count"] > 0) & (bound >= floor[:, None] - SLACK)
                 offsets = np.concatenate([[0], np.cumsum(meet.sum(axis=1))]).astype(np.int32)
                 cells = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.nonzero(meet)[1].astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([part.column("q"), part.column("vector"), cells], names=["q", "vector", "cells"])
+                columns = [part.column(name) for name in ("q", "vector", "floor")]
+                yield pa.RecordBatch.from_arrays([*columns, cells], names=["q", "vector", "floor", "cells"])
 
-    return queries.mapInArrow(run, "q long, vector array<float>, cells array<int>")
+    return queries.select("q", "vector", "floor").mapInArrow(run, "q long, vector array<float>, floor double, cells array<int>")
 
 
 def _pieces(counts: dict[int, int]) -> dict[int, int]:
@@ -148,28 +153,28 @@ def _per_cell(pieces: dict[int, int], cell: Column) -> Column:
     return F.coalesce(F.try_element_at(table, cell.cast("string")), F.lit(1))
 
 
-def _tile_top(products: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _tile_top(products: np.ndarray, ids: np.ndarray, k: int, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row, column and rounded score of the k best entries of each row, ties to the lower id.
 
-    The k-th largest maximum of column blocks is a cheap lower bound for the k-th best entry, and
-    few entries reach it. Where many do (equal vectors), an exact selection over all entries is
-    cheaper than sorting them.
+    Entries below the row's ``floor``, the k-th best score it has elsewhere, are not needed. Without
+    a useful floor, the k-th largest maximum of column blocks is a cheap one, and few entries reach
+    it. Where many do (equal vectors), an exact selection is cheaper than sorting them.
     """
     rows, columns = products.shape
-    scale = 10.0**DIGITS
+    scale, few = 10.0**DIGITS, rows * (k + 64)
+    hit = products >= (floor - SLACK)[:, None]
     blocks = columns // BLOCK_COLUMNS
-    if blocks > k:
+    if blocks > k and np.count_nonzero(hit) > few:
         tops = products[:, :blocks * BLOCK_COLUMNS].reshape(rows, blocks, BLOCK_COLUMNS).max(axis=2)
-        floor = np.partition(tops, blocks - k, axis=1)[:, blocks - k]
-        hit = products >= (floor - SLACK)[:, None]
-        if np.count_nonzero(hit) <= rows * (k + 64):
-            row, column = np.nonzero(hit)
-            rounded = np.rint(products[row, column] * scale)
-            order = np.lexsort((ids[column], -rounded, row))
-            row, column, rounded = row[order], column[order], rounded[order]
-            start = np.searchsorted(row, row, side="left")
-            best = np.arange(len(row)) - start < k
-            return row[best], column[best], rounded[best] / scale
+        own = np.partition(tops, blocks - k, axis=1)[:, blocks - k]
+        hit = products >= (np.maximum(own, floor) - SLACK)[:, None]
+    if np.count_nonzero(hit) <= few:
+        row, column = np.nonzero(hit)
+        rounded = np.rint(products[row, column] * scale)
+        order = np.lexsort((ids[column], -rounded, row))
+        row, column, rounded = row[order], column[order], rounded[order]
+        best = np.arange(len(row)) - np.searchsorted(row, row, side="left") < k
+        return row[best], column[best], rounded[best] / scale
     # One integer per entry that sorts by rounded score and then by lower id.
     rounded = np.rint(products * scale).astype(np.int64)
     rank_of_id = np.argsort(np.argsort(-ids))
@@ -186,7 +191,7 @@ def _cell_counts(visits: DataFrame) -> dict[int, int]:
 
 def _tile_join(visits: DataFrame, visit_counts: dict[int, int], corpus: DataFrame, corpus_counts: dict[int, int],
                k: int, payload: list[str]) -> DataFrame:
-    """Local top k of every visit: ``(q, d, score, *payload)``.
+    """Local top k of every visit, as far as it reaches the floor: ``(q, d, score, *payload)``.
 
     A pair of tiles is one group of a cogroup, keyed by (cell, piece of queries, piece of corpus).
     Either side is copied once per piece of the other, so a cell with much of the data becomes
@@ -201,7 +206,8 @@ def _tile_join(visits: DataFrame, visit_counts: dict[int, int], corpus: DataFram
     def every(pieces: dict[int, int]) -> Column:
         return F.explode(F.sequence(F.lit(0), _per_cell(pieces, cell) - 1))
 
-    left = visits.select("q", "vector", F.explode("cells").alias("cell")).withColumn("qp", own(query_pieces, "q")).withColumn("dp", every(corpus_pieces))
+    left = visits.select("q", "vector", "floor", F.explode("cells").alias("cell"))
+    left = left.withColumn("qp", own(query_pieces, "q")).withColumn("dp", every(corpus_pieces))
     right = corpus.select("d", "vector", "cell", *payload).where(cell.isin(list(visit_counts)))
     right = right.withColumn("dp", own(corpus_pieces, "d")).withColumn("qp", every(query_pieces))
     keys = ["cell", "qp", "dp"]
@@ -210,7 +216,8 @@ def _tile_join(visits: DataFrame, visit_counts: dict[int, int], corpus: DataFram
         if not queries.num_rows or not docs.num_rows:
             return result.empty_table()
         products = _matrix(queries.column("vector")) @ _matrix(docs.column("vector")).T
-        rows, columns, score = _tile_top(products, docs.column("d").to_numpy(), k)
+        floor = queries.column("floor").to_numpy()
+        rows, columns, score = _tile_top(products, docs.column("d").to_numpy(), k, floor)
         chosen = docs.select(["d", *payload]).take(pa.array(columns))
         q = queries.column("q").take(pa.array(rows))
         return pa.table([q, chosen.column("d"), pa.array(score), *chosen.columns[1:]], schema=result)
@@ -243,7 +250,7 @@ def _per_vector(queries: DataFrame, corpus: DataFrame, corpus_size: int, k: int,
         for name in stats:
             stats[name][row["cell"]] = row[name]
     sizes = {r["cell"]: r["count"] for r in rows}
-    opening = materialise(_visit(asked, centres, stats, k, first=True), "visits")
+    opening = materialise(_visit(asked.withColumn("floor", _no_floor()), centres, stats, k, first=True), "visits")
     near = materialise(_tile_join(opening, _cell_counts(opening), docs, sizes, k, payload), "near")
     # A corpus below k vectors is opened whole, and then no group is left for the second round.
     floor = _best(near, k).groupBy("q").agg(F.min("score").alias("floor"))
@@ -270,7 +277,7 @@ def top_k(queries: DataFrame, corpus: DataFrame, k: int, payload: list[str] | No
     if pivots is None and corpus_size * asked <= FEW_PAIRS and max(corpus_size, asked) <= HOT_MINIMUM:
         # One group of a bounded number of tiles, and no key can be hot.
         docs = corpus.withColumn("cell", F.lit(0))
-        visits = queries.select("q", "vector", F.array(F.lit(0)).alias("cells"))
+        visits = queries.select("q", "vector", _no_floor().alias("floor"), F.array(F.lit(0)).alias("cells"))
         found = _tile_join(visits, {0: asked}, docs, {0: corpus_size}, k, payload)
         return queries.join(_lists(found, k, payload), "q", "left")
     per_vector = materialise(

@@ -12,16 +12,23 @@ HOT_MINIMUM = 100_000  # and never below this many rows
 SPREAD = 256           # pieces that a hot key is split into
 
 
-def dense_index(df: DataFrame, order_by: list[Column], name: str = "idx", label: str = "ordered") -> tuple[DataFrame, int]:
+def dense_index(df: DataFrame, order_by: list[Column], name: str = "idx", label: str = "ordered",
+                unique: bool = False) -> tuple[DataFrame, int]:
     """Number rows 0, 1, 2, ... in the given order, without one partition that holds them all.
 
-    The range-sorted rows are written once with their partition and place in it, so that the
+    Unless the order is ``unique``, rows that tie could fill one range, however many they are. They
+    are spread by their place in a table written for that, which stays the same when a task is
+    retried. The range-sorted rows are written once with their partition and place in it, so that the
     offsets below fit them for sure. The offsets are one row per partition.
     """
     spark = df.sparkSession
     place = F.monotonically_increasing_id()
-    placed = df.orderBy(*order_by).select(
-        "*",
+    rows = df
+    if not unique:
+        rows = materialise(df, label).withColumn("_tie", place)
+        order_by = [*order_by, F.col("_tie")]
+    placed = rows.orderBy(*order_by).select(
+        *df.columns,
         F.shiftright(place, 33).cast("int").alias("_part"),
         place.bitwiseAND(F.lit((1 << 33) - 1)).alias("_place"),
     )
@@ -40,11 +47,19 @@ def dense_index(df: DataFrame, order_by: list[Column], name: str = "idx", label:
     return numbered, total
 
 
-def with_row_id(df: DataFrame, order_by: list[Column] | None = None) -> DataFrame:
-    """Give rows of a foreign source an ``id``: their order by the given columns, or by all."""
-    order = order_by or [F.col(f"`{c}`") for c in df.columns]
-    numbered, _ = dense_index(df, order, name="id", label="row-id")
-    return numbered
+def with_row_id(df: DataFrame) -> DataFrame:
+    """Give the rows of a table read from files an ``id``, in the order of the files and their lines."""
+    names = df.columns
+    if "id" in names:
+        raise ValueError("the table has an id already")
+    placed = df.select(
+        "*",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_line"),
+    )
+    numbered, _ = dense_index(placed, [F.col("_file"), F.col("_block"), F.col("_line")], name="id", label="row-id", unique=True)
+    return numbered.select("id", *names)
 
 
 def hot_hashes(counts: DataFrame, key: list[str], count_column: str = "count") -> list[int]:

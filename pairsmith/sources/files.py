@@ -68,14 +68,16 @@ def write_json_array(df: DataFrame, path: str, order_by: list[str] | None = None
     Each row is a line, with the bracket or comma before it, so no task holds the whole list and
     ``read_value_list`` can split it again.
     """
-    order = [F.col(c) for c in (order_by or df.columns)]
-    numbered, total = dense_index(df, order, name="_idx", label="array")
+    order_by = order_by or [f.name for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    rows = df.select(_element(df).alias("_element"), *order_by)
+    order = [F.col(c) for c in order_by] or [F.col("_element")]
+    numbered, total = dense_index(rows, order, name="_idx", label="array")
     if total == 0:
         df.sparkSession.range(1).select(F.lit("[]").alias("value")).write.mode(mode).text(path)
         return
     opening = F.when(F.col("_idx") == 0, "[").otherwise(",")
     closing = F.when(F.col("_idx") == total - 1, "]").otherwise("")
-    lines = numbered.select(F.concat(opening, _element(df), closing).alias("value"), "_idx")
+    lines = numbered.select(F.concat(opening, "_element", closing).alias("value"), "_idx")
     lines.orderBy("_idx").select("value").write.mode(mode).text(path)
 
 
@@ -87,7 +89,10 @@ def write_table(df: DataFrame, path: str, output_format: str, mode: str = "overw
         return
     if order_by:
         df = df.orderBy(*order_by)
-    if output_format == "jsonl":
+    if output_format == "jsonl" and [type(f.dataType) for f in df.schema] == [T.VariantType]:
+        # A table of JSON values: each line is the value itself.
+        df.select(F.to_json(df.columns[0]).alias("value")).write.mode(mode).text(path)
+    elif output_format == "jsonl":
         df.write.mode(mode).option("ignoreNullFields", "false").json(path)
     else:
         writer = _flat(df).write.mode(mode).option("header", True).option("quote", '"').option("escape", '"')

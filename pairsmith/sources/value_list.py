@@ -24,7 +24,7 @@ def from_table(df: DataFrame, column: str) -> ValueList:
     from pairsmith.operators.ordering import dense_index
 
     values = df.select(F.col(column).alias("value")).dropDuplicates(["value"])
-    numbered, length = dense_index(values, [F.col("value")], label="values")
+    numbered, length = dense_index(values, [F.col("value")], label="values", unique=True)
     return ValueList(numbered.select("idx", "value"), length)
 
 
@@ -48,6 +48,6 @@ def read_value_list(spark: SparkSession, path: str) -> ValueList:
     parsed = F.from_json(piece, "array<string>", {"mode": "FAILFAST"})
     items = lines.select("_file", "_block", "_line", F.posexplode(parsed).alias("_pos", "value"))
     numbered, length = dense_index(
-        items, [F.col("_file"), F.col("_block"), F.col("_line"), F.col("_pos")], label="value-list"
+        items, [F.col("_file"), F.col("_block"), F.col("_line"), F.col("_pos")], label="value-list", unique=True
     )
     return ValueList(numbered.select("idx", F.coalesce("value", F.lit("None")).alias("value")), length)

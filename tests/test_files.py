@@ -95,3 +95,18 @@ def test_postprocessors(spark):
         postprocessor("nobody")
     register_postprocessor("count", lambda: lambda t: t.groupBy().count())
     assert df.transform(postprocessor("count")).first()[0] == 2
+
+
+def test_table_of_json_values(spark, tmp_path):
+    fence = "`" * 3
+    replies = ['{"a":"1","b":[1,null]}', f"{fence}[1,2]{fence}", "nothing", f'{fence}"s"{fence}']
+    df = spark.createDataFrame(list(enumerate(replies)), "id long, output string")
+    values = df.transform(postprocessor("json"))
+    expected = sorted(['{"a":"1","b":[1,null]}', "[1,2]", '"s"'])
+    path = str(tmp_path / "t")
+    write_table(values, path, "jsonl")
+    assert sorted(joined_parts(path).splitlines()) == expected
+    write_table(values, path, "json")
+    assert sorted(json.dumps(v, separators=(",", ":")) for v in json.loads(joined_parts(path))) == expected
+    write_table(values, path, "csv")
+    assert {r.parsed for r in read_csv(spark, path, "parsed string").collect()} == set(expected)

@@ -94,10 +94,12 @@ def test_tile_selection_with_and_without_ties():
     rng = np.random.default_rng(9)
     ids = rng.permutation(4000)[:2000]
     for products in (rng.normal(size=(5, 2000)), np.zeros((5, 2000)), np.round(rng.normal(size=(5, 2000)), 1)):
-        rows, columns, scores = neighbours._tile_top(products, ids, 10)
-        for row in range(5):
-            mine = sorted((-s, ids[c]) for c, s in zip(columns[rows == row], scores[rows == row]))
-            assert mine == sorted((-round(p, 6), i) for p, i in zip(products[row], ids))[:10]
+        for floor in (-np.inf, 2.0):
+            rows, columns, scores = neighbours._tile_top(products, ids, 10, np.full(5, floor))
+            for row in range(5):
+                mine = sorted((-s, ids[c]) for c, s in zip(columns[rows == row], scores[rows == row]))
+                best = sorted((-round(p, 6), i) for p, i in zip(products[row], ids))[:10]
+                assert [m for m in mine if m[0] <= -floor] == [x for x in best if x[0] <= -floor]
 
 
 def negatives_of(spark, rows, k, **options):
@@ -163,5 +165,25 @@ def test_dense_index(spark):
     assert total == 500 and {(r.x, r.idx) for r in numbered.collect()} == {(x, 499 - x) for x in range(500)}
     empty, total = ordering.dense_index(df.where("false"), [F.col("x")])
     assert total == 0 and empty.count() == 0
-    ids = [r.id for r in ordering.with_row_id(df).orderBy("x").collect()]
-    assert ids == list(range(500))
+
+
+def test_equal_rows_do_not_share_a_range(spark):
+    df = spark.createDataFrame([("same",)] * 900 + [("zzz",)] * 100, "x string").repartition(6)
+    numbered, total = ordering.dense_index(df, [F.col("x")])
+    rows = numbered.withColumn("p", F.spark_partition_id()).collect()
+    assert total == 1000 and sorted(r.idx for r in rows) == list(range(1000))
+    assert all((r.x == "same") == (r.idx < 900) for r in rows)
+
+
+def test_row_ids_follow_the_files(spark, tmp_path):
+    folder = tmp_path / "rows"
+    folder.mkdir()
+    lines = [f"line {i % 7}" for i in range(3000)]
+    (folder / "a.txt").write_text("\n".join(lines[:10]) + "\n")
+    (folder / "b.txt").write_text("\n".join(lines[10:]) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        got = ordering.with_row_id(spark.read.text(str(folder)))
+        assert [r.value for r in got.orderBy("id").collect()] == lines
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
