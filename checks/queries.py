@@ -201,32 +201,36 @@ def idea_set(spark, sf_dir):
 
 # --- triples ---------------------------------------------------------------------------------
 
-def triple_replies(docs: DataFrame, data_type: str) -> DataFrame:
-    """Replies with the keys of a data type; every seventh lacks the last key it needs."""
+def _triple_reply(data_type: str) -> Column:
     keys = [k for k in REPLY_KEYS[data_type] if k]
     values = [F.col("text"), F.col("source"), F.col("lang")]
     fields = [F.concat(F.lit(f'"{k}":"'), v, F.lit('"')) for k, v in zip(keys, values)]
     inner = F.when(F.col("id") % 7 == 0, F.concat_ws(",", *fields[:-1])).otherwise(F.concat_ws(", ", *fields))
+    return F.concat(F.lit("{"), inner, F.lit("}"))
+
+
+def triple_replies(docs: DataFrame, output: Column, data_type: Column) -> DataFrame:
+    """Replies with the keys of a data type; every seventh lacks the last key it needs."""
     prompt = F.concat(F.lit("This is your task: about "), F.col("source"), F.lit("\nin "), F.col("lang"))
     task = F.when(F.col("id") % 2 == 0, F.create_map(F.lit("task"), F.concat(F.lit("task "), F.col("lang"))))
     return docs.select(
-        "id", task.alias("sample"), prompt.alias("formatted_prompt"),
-        F.concat(F.lit("{"), inner, F.lit("}")).alias("output"), F.lit(data_type).alias("data_type"),
+        "id", task.alias("sample"), prompt.alias("formatted_prompt"), output.alias("output"), data_type.alias("data_type")
     )
 
 
 def triples_of(data_type):
-    return lambda spark, sf_dir: triples(triple_replies(documents(spark, sf_dir), data_type), data_type)
+    def query(spark, sf_dir):
+        replies = triple_replies(documents(spark, sf_dir), _triple_reply(data_type), F.lit(data_type))
+        return triples(replies, data_type)
+
+    return query
 
 
 def triples_mixed(spark, sf_dir):
-    docs = documents(spark, sf_dir)
-    names = list(REPLY_KEYS)
-    rows = None
-    for name in names:
-        part = triple_replies(docs, name)
-        rows = part if rows is None else rows.unionByName(part)
-    return triples(rows.withColumn("data_type", F.concat("data_type", F.lit("_v2"))))
+    """Every document in each data type, in one table."""
+    docs = documents(spark, sf_dir).withColumn("kind", F.explode(F.array(*[F.lit(n) for n in REPLY_KEYS])))
+    output = F.coalesce(*[F.when(F.col("kind") == name, _triple_reply(name)) for name in REPLY_KEYS])
+    return triples(triple_replies(docs, output, F.concat("kind", F.lit("_v2"))))
 
 
 def reply_rejects(spark, sf_dir):

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from pairsmith.functions.binding import let
+
 
 def parse_strict(text: Column) -> Column:
     """VARIANT of a text that is exactly one JSON value, else null.
@@ -32,9 +34,8 @@ def parse_closed(text: Column) -> Column:
 
 def string_field(value: Column, key: str) -> Column:
     """``value[key]`` if it is a JSON string, else null (missing key, other type, not an object)."""
-    path = f"$['{key}']"
-    kind = F.schema_of_variant(F.try_variant_get(value, path, "variant"))
-    return F.when(kind == "STRING", F.try_variant_get(value, path, "string"))
+    field = F.try_variant_get(value, f"$['{key}']", "variant")
+    return let(field, lambda v: F.when(F.schema_of_variant(v) == "STRING", F.try_variant_get(v, "$", "string")))
 
 
 def is_object(value: Column) -> Column:

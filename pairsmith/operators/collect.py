@@ -82,15 +82,18 @@ def _quoted_pairs(text: Column) -> Column:
 
 def _read_replies(df: DataFrame, output: str, repair: str, replacement: str, read, salvage=None) -> DataFrame:
     prepare(df.sparkSession)
-    replies = df.where(F.col(output).isNotNull()).withColumn(
-        "_repaired", F.regexp_replace(output, repair, replacement)
-    )
-    changed = F.col("_repaired") != F.col(output)
-    branches = [read(F.col(output), ""), F.when(changed, read(F.col("_repaired"), "repaired_"))]
-    if salvage:
-        branches.append(salvage(F.col("_repaired")))
+    replies = df.where(F.col(output).isNotNull())
+
+    def second_try(repaired: Column) -> Column:
+        branches = [F.when(repaired != F.col(output), read(repaired, "repaired_"))]
+        if salvage:
+            branches.append(salvage(repaired))
+        return F.coalesce(*branches)
+
+    # The repair is only computed for replies that cannot be read as they are.
+    branches = [read(F.col(output), ""), let(F.regexp_replace(output, repair, replacement), second_try)]
     nothing = F.struct(F.lit("none").alias("parse_branch"), F.lit(None).cast("variant").alias("parsed"))
-    found = replies.withColumn("_found", F.coalesce(*branches, nothing).cast(PARSED)).drop("_repaired")
+    found = replies.withColumn("_found", F.coalesce(*branches, nothing).cast(PARSED))
     return settle(found, ["_found"]).select(*df.columns, "_found.parse_branch", "_found.parsed")
 
 

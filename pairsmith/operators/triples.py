@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pairsmith.functions.binding import only_if
 from pairsmith.functions.strict_json import is_object, string_field
 from pairsmith.operators.collect import read_json
 from pairsmith.operators.sampling import settle
@@ -64,13 +65,10 @@ def _triple(data_type: str, derived: Column) -> Column:
         F.lit("") if key is None else string_field(F.col("parsed"), key) for key in REPLY_KEYS[data_type]
     )
     instruction = F.lit(INSTRUCTIONS[data_type]) if data_type in INSTRUCTIONS else derived
-    whole = query.isNotNull() & positive.isNotNull() & negative.isNotNull()
-    return F.when(
-        whole,
-        F.struct(
-            instruction.alias("instruction"), query.alias("query"), positive.alias("positive"), negative.alias("negative")
-        ),
+    triple = F.struct(
+        instruction.alias("instruction"), query.alias("query"), positive.alias("positive"), negative.alias("negative")
     )
+    return only_if(triple, lambda t: t["query"].isNotNull() & t["positive"].isNotNull() & t["negative"].isNotNull())
 
 
 def judge(df: DataFrame, data_type: str | None = None, output: str = "output") -> DataFrame:
