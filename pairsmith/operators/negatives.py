@@ -78,7 +78,9 @@ def next_other(rows: DataFrame) -> DataFrame:
     filled one and the first that differs from it.
     """
     spark = rows.sparkSession
-    ranged = materialise(rows.repartitionByRange("id").withColumn("range", F.spark_partition_id()), "ranges")
+    # With a set number of ranges, adaptive execution leaves them as they are.
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = materialise(rows.repartitionByRange(ranges, "id").withColumn("range", F.spark_partition_id()), "ranges")
     after = Window.partitionBy("range").orderBy(F.desc("id")).rowsBetween(Window.unboundedPreceding, -1)
     here = F.struct("id", "key")
     step = ranged.withColumn("next", F.last(F.when(~F.col("blank"), here), ignorenulls=True).over(after))
