@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pairsmith.llm.binary_records import op5_binary_records
 from pairsmith.llm.language_id import op3_language_id
+from pairsmith.llm.packing import op7_best_fit_packing
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_language_id": op3_language_id,
+        "op5_binary_records": op5_binary_records,
+        "op7_best_fit_packing": op7_best_fit_packing,
     }
 
 
