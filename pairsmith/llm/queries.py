@@ -6,18 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pairsmith.llm import license_scan, line_dedup
 from pairsmith.llm.binary_records import op5_binary_records
+from pairsmith.llm.fingerprints import op4_fingerprints
 from pairsmith.llm.language_id import op3_language_id
+from pairsmith.llm.license_scan import op6_license_scan
+from pairsmith.llm.line_dedup import op1_line_dedup
 from pairsmith.llm.packing import op7_best_fit_packing
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_line_dedup": op1_line_dedup,
         "op3_language_id": op3_language_id,
+        "op4_fingerprints": op4_fingerprints,
         "op5_binary_records": op5_binary_records,
+        "op6_license_scan": op6_license_scan,
         "op7_best_fit_packing": op7_best_fit_packing,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_line_dedup": line_dedup.SQL, "op6_license_scan": license_scan.SQL}
