@@ -13,6 +13,7 @@ from pairsmith.llm.language_id import op3_language_id
 from pairsmith.llm.license_scan import op6_license_scan
 from pairsmith.llm.line_dedup import op1_line_dedup
 from pairsmith.llm.packing import op7_best_fit_packing
+from pairsmith.llm.substring_dedup import op8_substring_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -23,6 +24,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_binary_records": op5_binary_records,
         "op6_license_scan": op6_license_scan,
         "op7_best_fit_packing": op7_best_fit_packing,
+        "op8_substring_dedup": op8_substring_dedup,
     }
 
 

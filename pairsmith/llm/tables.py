@@ -42,3 +42,13 @@ def parts(df: DataFrame) -> int:
 def id_and_text(df: DataFrame) -> DataFrame:
     """The two columns that the operators read, whatever else the table holds."""
     return df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
+def unique_documents(df: DataFrame) -> DataFrame:
+    """doc_id and text with one row per doc_id; of differing texts the greatest. Rows without an id are left out.
+
+    Texts are moved only if an id does occur more than once.
+    """
+    rows = id_and_text(df).where("doc_id is not null")
+    repeated = rows.select("doc_id").groupBy("doc_id").count().where("count > 1").limit(1).count()
+    return rows.groupBy("doc_id").agg(F.max("text").alias("text")) if repeated else rows
