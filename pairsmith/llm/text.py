@@ -17,6 +17,8 @@ BASE = np.uint64(0x9E3779B97F4A7C15)
 
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
+#: All of ASCII but letters and digits, for words without punctuation.
+PUNCTUATION = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _powers = np.ones(1, np.uint64)
@@ -48,7 +50,7 @@ class Words:
     end; ``data``, ``starts``, ``ends``: the bytes, and where each word lies in them.
     """
 
-    def __init__(self, column: pa.Array, lower: bool = False):
+    def __init__(self, column: pa.Array, lower: bool = False, separator: np.ndarray = _SEPARATOR):
         if isinstance(column, pa.ChunkedArray):
             column = column.combine_chunks()
         column = pc.fill_null(column, "").cast(pa.large_string())
@@ -57,7 +59,7 @@ class Words:
         raw = column.buffers()[2]
         data = np.frombuffer(raw, np.uint8)[offsets[0]:offsets[-1]] if raw is not None else np.zeros(0, np.uint8)
         offsets = offsets - offsets[0]
-        inside = ~_SEPARATOR[data]
+        inside = ~separator[data]
         start, end = inside.copy(), inside.copy()
         if len(data):
             edge = offsets[1:-1][(offsets[1:-1] > 0) & (offsets[1:-1] < len(data))]
@@ -125,3 +127,12 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             b = max(a + 1, int(np.searchsorted(total, done + limit, "right")))
             yield batch.slice(a, b - a)
             a = b
+
+
+def rolling(hashes: np.ndarray, size: int) -> np.ndarray:
+    """Karp-Rabin hash of every ``size`` consecutive values: each is the last one rolled on by one value."""
+    powers, inverse = _power_tables(len(hashes) + 1)
+    total = np.zeros(len(hashes) + 1, np.uint64)
+    np.cumsum(hashes * powers[:len(hashes)], out=total[1:])
+    n = len(hashes) - size + 1
+    return (total[size:] - total[:n]) * inverse[:n]
