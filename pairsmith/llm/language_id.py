@@ -124,6 +124,7 @@ class Model:
         return n, hits, has_letter
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+        """Language and score of each text; long texts and large batches are read in pieces."""
         pieces, whose = [], []
         for i, t in enumerate(texts):
             for piece in _pieces(t) if t else [""]:
@@ -214,6 +215,22 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     return id_and_text(docs).mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
+def tagged(docs: DataFrame, model: Model) -> DataFrame:
+    """Every row of ``docs`` as a struct ``row``, with lang_pred and score beside it; whole rows, no join."""
+    shared = docs.sparkSession.sparkContext.broadcast((model.names, model.masks))
+
+    @F.pandas_udf("lang_pred string, score double")
+    def predict(texts):
+        import pandas as pd
+
+        own = Model(*shared.value)
+        names, score = own.predict([t if isinstance(t, str) else None for t in texts])
+        return pd.DataFrame({"lang_pred": names, "score": score})
+
+    row = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
+    return row.withColumn("found", predict(F.col("row.text"))).select("row", "found.lang_pred", "found.score")
+
+
 def held_out() -> F.Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
 

@@ -10,6 +10,7 @@ from pairsmith.llm import license_scan, line_dedup
 from pairsmith.llm.binary_records import op5_binary_records
 from pairsmith.llm.decontamination import op9_decontamination
 from pairsmith.llm.fingerprints import op4_fingerprints
+from pairsmith.llm.jaccard_join import op10_ngram_jaccard_join
 from pairsmith.llm.language_id import op3_language_id
 from pairsmith.llm.license_scan import op6_license_scan
 from pairsmith.llm.line_dedup import op1_line_dedup
@@ -27,6 +28,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_best_fit_packing": op7_best_fit_packing,
         "op8_substring_dedup": op8_substring_dedup,
         "op9_decontamination": op9_decontamination,
+        "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
     }
 
 
