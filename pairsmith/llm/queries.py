@@ -15,12 +15,14 @@ from pairsmith.llm.language_id import op3_language_id
 from pairsmith.llm.license_scan import op6_license_scan
 from pairsmith.llm.line_dedup import op1_line_dedup
 from pairsmith.llm.packing import op7_best_fit_packing
+from pairsmith.llm.quality import op2_quality_classifier
 from pairsmith.llm.substring_dedup import op8_substring_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_dedup": op1_line_dedup,
+        "op2_quality_classifier": op2_quality_classifier,
         "op3_language_id": op3_language_id,
         "op4_fingerprints": op4_fingerprints,
         "op5_binary_records": op5_binary_records,
