@@ -36,7 +36,7 @@ from pairsmith.llm.text import Words, grams, mix, owners, slices
 
 EDGE = 13
 WINDOWS_PER_SHARD = 1_000_000
-WINDOWS_PER_TASK_STEP = 1_500_000  # windows of a task's documents that are compared before they are dealt
+WINDOWS_PER_TASK_STEP = 600_000  # windows of a task's documents that are compared before they are dealt
 PIECE = ["doc", "start", "source", "source_start", "edges"]
 PIECES = ", ".join(f"{c} long" for c in PIECE)
 
