@@ -19,8 +19,8 @@ def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cut repeated windows of three lines out of the texts; every document stays."""
-    return line_dedup.dedup_lines(docs)
+    """Cut repeated windows of three lines out of the texts; documents of which nothing is left go."""
+    return line_dedup.dedup_lines(docs).where("text <> ''")
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
