@@ -193,6 +193,8 @@ def compared(docs: DataFrame, queries: DataFrame, members: DataFrame) -> DataFra
                     ids.append(doc)
                     stack.append(own)
                     continue
+                if not ids:
+                    continue  # no query fell into this block
                 if flat is None:
                     flat = np.concatenate(stack)
                     length = np.array([len(s) for s in stack])

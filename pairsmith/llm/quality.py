@@ -195,7 +195,7 @@ def _part(spark: SparkSession, docs: DataFrame, entries: DataFrame, shard: int,
             if shards > 1:
                 mine = (codes[at - 1] % np.uint64(shards)) == shard
                 at, text = at[mine], text[mine]
-            logp = np.bincount(text, own.log_probability(codes, at), batch.num_rows)
+            logp = np.bincount(text, own.log_probability(codes, at), batch.num_rows).astype(float)
             n = np.bincount(text, minlength=batch.num_rows)
             mark = [zlib.crc32((t or "").encode("utf-8", "replace")) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lang"), pa.array(mark, pa.int64()), pa.array(n.astype(np.int64)), pa.array(logp)], ["doc_id", "lang", "mark", "n", "logp"])
