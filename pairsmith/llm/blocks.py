@@ -7,6 +7,8 @@ second bytes, ...), which lets Spark's shuffle compression drop the many zero by
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -62,11 +64,9 @@ def only_some(docs: DataFrame, ids: DataFrame) -> DataFrame:
     bitmap[words["word"].to_numpy()] = words["bits"].to_numpy()
     shared = spark.sparkContext.broadcast(bitmap)
 
-    @F.pandas_udf("boolean")
-    def may(bits):
-        import pandas as pd
-
-        at = bits.to_numpy()
-        return pd.Series((shared.value[at // 64] >> (at % 64)) & 1 == 1)
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.column("_bit").to_numpy()
+            yield batch.filter(pa.array((shared.value[at // 64] >> (at % 64)) & 1 == 1)).drop_columns(["_bit"])
 
-    return docs.where(may(bit))
+    return docs.withColumn("_bit", bit).where("_bit is not null").mapInArrow(pick, docs.schema)

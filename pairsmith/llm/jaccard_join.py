@@ -9,7 +9,7 @@ are changes the work and not the result.
 
 1. Equal sets are one (by a 128-bit digest of the set).
 2. First tokens that occur in one set alone are dropped.
-3. Similar documents are put into groups: for each token three of its documents lead, the others are compared to them
+3. Similar documents are put into groups: for each token two of its documents lead, the others are compared to them
    where they share enough, and verified links connect them. A group is a component of these links.
 4. The matrix holds, for each group, the union of its members' first tokens. A document is a query: the number of its
    first tokens in a group's union bounds its overlap with every member. Only where the bound allows a link is the
@@ -45,7 +45,7 @@ TOKENS_PER_TASK_STEP = 800_000  # tokens of a task's documents that are looked a
 FREQUENT = 64          # a token is put last from so many documents on, as far as they were seen together
 MOST_FREQUENT = 1 << 20  # tokens put last at most (8 MB); others stay in their place, which is as exact
 BLOCK = 256
-LEADERS = 3
+LEADERS = (0, -1)  # the least and the greatest doc_id of a token's documents lead
 
 
 def linked(both: np.ndarray, a, b) -> np.ndarray:
@@ -211,23 +211,19 @@ def compared(docs: DataFrame, queries: DataFrame, members: DataFrame) -> DataFra
     return ordered.select("key", "qb", "mb", "role", "doc", "tokens").mapInArrow(compare, "a long, b long")
 
 
-def _groups(shared: DataFrame, docs: DataFrame) -> DataFrame:
-    """Verified links (a, b) between the leaders of tokens and their other documents."""
-    def leader(k: int):
-        return F.min(F.struct(F.xxhash64(F.lit(k), "doc").alias("h"), "doc"))["doc"]
+def _led(shared: DataFrame) -> DataFrame:
+    """(key, doc): documents and the leaders among those that share tokens with them, where they share enough."""
+    order = [F.col("doc").bitwiseXOR(F.lit(x)) for x in LEADERS]  # one to one, so the least value tells its document
+    leaders = shared.groupBy("token").agg(*[F.min(o).alias(f"l{k}") for k, o in enumerate(order)])
+    who = F.array_distinct(F.array(*[F.col(f"l{k}").bitwiseXOR(F.lit(x)) for k, x in enumerate(LEADERS)]))
+    pairs = shared.join(leaders, "token").select("doc", "n", F.explode(who).alias("key")).where("key <> doc") \
+        .groupBy("key", "doc").agg(F.count("*").alias("c"), F.first("n").alias("n"))
+    # Sharing a third of the first tokens is a hint to compare; pairs left out here are the matrix's to find.
+    return written(pairs.where(F.col("c") * 12 >= F.col("n")).select("key", "doc"), "led")
 
-    leaders = shared.groupBy("token").agg(*[leader(k).alias(f"l{k}") for k in range(LEADERS)])
-    pairs = shared.join(leaders, "token").select("doc", "n", F.explode(F.array_distinct(F.array(*[f"l{k}" for k in range(LEADERS)]))).alias("key")) \
-        .where("key <> doc").groupBy("key", "doc").agg(F.count("*").alias("c"), F.first("n").alias("n"))
-    # Sharing a tenth of the first tokens is a hint to compare; pairs left out here are the matrix's to find.
-    members = written(pairs.where(F.col("c") * 40 >= F.col("n")).select("key", "doc"), "led")
-    return compared(docs, members.select("key", F.col("key").alias("doc")).distinct(), members)
 
-
-def _between(shared: DataFrame, groups: DataFrame, docs: DataFrame) -> DataFrame:
-    """Links between documents of different groups, by the token-group matrix."""
-    rows = written(shared.join(groups.select(F.col("id").alias("doc"), "component"), "doc", "left")
-                   .select("token", "doc", "n", F.coalesce("component", "doc").alias("g")), "grouped")
+def _opened(rows: DataFrame) -> DataFrame:
+    """(doc, key): queries and the groups other than their own that the bound allows to hold a linked document."""
     matrix = rows.groupBy("token", "g").agg(F.min("n").alias("low"), F.max("n").alias("high")).withColumnRenamed("g", "key")
     least = F.ceil(F.col("n") * SHARE[0] / SHARE[1])
     met = rows.join(matrix, "token").where("g <> key").groupBy("doc", "key").agg(
@@ -236,24 +232,44 @@ def _between(shared: DataFrame, groups: DataFrame, docs: DataFrame) -> DataFrame
     # other holds are then among the other's first ones, and at most n - overlap of them are missing there.
     overlap = F.ceil(SHARE[0] * (F.col("n") + F.greatest("low", least)) / sum(SHARE))
     need = F.greatest(F.lit(1), (F.col("n") - least + 1) - F.col("n") + overlap)
-    open_ = met.where((F.col("c") >= need) & (F.col("high") >= least) & (F.col("low") * SHARE[0] <= F.col("n") * SHARE[1])).select("doc", "key")
-    open_ = written(open_, "open")
-    members = rows.select(F.col("g").alias("key"), "doc").distinct().join(open_.select("key").distinct(), "key")
-    return compared(docs, open_, members)
+    return written(met.where((F.col("c") >= need) & (F.col("high") >= least) & (F.col("low") * SHARE[0] <= F.col("n") * SHARE[1])).select("doc", "key"), "open")
+
+
+def _shared(docs: DataFrame, named: DataFrame) -> DataFrame:
+    found = shared_tokens(docs, frequent_tokens(docs))
+    one = named.where("doc_id = rep").select(F.col("doc_id").alias("doc"))
+    return written(found.join(one, "doc", "left_semi").select("token", "doc", "n"), "shared")
+
+
+def _named(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles and the least doc_id with an equal set."""
+    sets = written(signatures(docs), "signatures")
+    classes = sets.where("n_shingles > 0").groupBy("a", "b", "n_shingles").agg(F.min("doc_id").alias("rep"))
+    return written(sets.join(classes, ["a", "b", "n_shingles"], "left").select("doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("rep")), "classes")
+
+
+def _grouped(shared: DataFrame, groups: DataFrame) -> DataFrame:
+    own = groups.select(F.col("id").alias("doc"), "component")
+    return written(shared.join(own, "doc", "left").select("token", "doc", "n", F.coalesce("component", "doc").alias("g")), "grouped")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id of every document."""
+    """doc_id, n_shingles, component_id of every document. Each step's result is written, and its shuffles go."""
     spark = docs.sparkSession
     docs = unique_documents(docs)
-    sets = written(signatures(docs), "signatures")
-    classes = sets.where("n_shingles > 0").groupBy("a", "b", "n_shingles").agg(F.min("doc_id").alias("rep"))
-    named = written(sets.join(classes, ["a", "b", "n_shingles"], "left").select("doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("rep")), "classes")
-    found = shared_tokens(docs, frequent_tokens(docs))
-    shared = written(found.join(named.where("doc_id = rep").select(F.col("doc_id").alias("doc")), "doc", "left_semi").select("token", "doc", "n"), "shared")
+    named = _named(docs)
+    shared = _shared(docs, named)
+    free_shuffles(spark)
+    led = _led(shared)
+    free_shuffles(spark)
+    inner = written(compared(docs, led.select("key", F.col("key").alias("doc")).distinct(), led), "inner")
+    free_shuffles(spark)
+    rows = _grouped(shared, components(inner))
+    opened = _opened(rows)
+    free_shuffles(spark)
+    members = rows.select(F.col("g").alias("key"), "doc").distinct().join(opened.select("key").distinct(), "key")
+    links = written(inner.unionByName(compared(docs, opened, members)), "outer")
     free_shuffles(spark)
-    inner = written(_groups(shared, docs), "inner")
-    links = inner.unionByName(_between(shared, components(inner), docs))
     found = components(links)
     return named.join(found.withColumnRenamed("id", "rep"), "rep", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))

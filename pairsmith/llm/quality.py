@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairsmith.llm.blocks import only_some
-from pairsmith.llm.tables import table, written
+from pairsmith.llm.tables import bounded_batches, table, written
 from pairsmith.llm.text import mix, slices
 
 ORDER = 5
@@ -210,6 +210,7 @@ def trusted_part() -> F.Column:
 
 def judge(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
     """doc_id, lang, perplexity, threshold, keep of every document. Trusted are those labelled with quality 1."""
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     trusted = written(labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id")).distinct(), "trusted")
     training = trusted.where(trusted_part() != 0)

@@ -39,8 +39,19 @@ def parts(df: DataFrame) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 
 
+BATCH_BYTES = "4m"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches that go to Python workers by bytes, unless the session has a bound of its own: ten
+    thousand long texts are too many at once."""
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def id_and_text(df: DataFrame) -> DataFrame:
     """The two columns that the operators read, whatever else the table holds."""
+    bounded_batches(df.sparkSession)
     return df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 

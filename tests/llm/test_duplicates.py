@@ -91,7 +91,7 @@ def test_jaccard_join_equals_brute_force(spark, given):
     assert as_dict(jaccard_join.op10_ngram_jaccard_join(spark, SF)) == brute_components(given)
 
 
-@pytest.mark.parametrize("frequent,most,leaders,block,step", [(64, 1 << 20, 3, 256, 1_500_000), (2, 50, 1, 3, 2_000), (10**9, 1 << 20, 1, 2, 500)])
+@pytest.mark.parametrize("frequent,most,leaders,block,step", [(64, 1 << 20, (0, -1), 256, 1_500_000), (2, 50, (0,), 3, 2_000), (10**9, 1 << 20, (5,), 2, 500)])
 def test_jaccard_join_of_near_copies(spark, near, monkeypatch, frequent, most, leaders, block, step):
     """However tokens are ordered and groups are led, the result is that of all pairs."""
     texts, docs = near
