@@ -28,7 +28,7 @@ def strings(values) -> str:
 
 
 def u(tag: str, key: str) -> str:
-    return f"(('0x' || substr(md5('{SEED}:{tag}:' || {key} || ':0'), 1, 8))::UBIGINT / 4294967296::DOUBLE)"
+    return f"((('0x' || substr(md5('{SEED}:{tag}:' || {key} || ':0'), 1, 14))::UBIGINT >> 3) / 9007199254740992::DOUBLE)"
 
 
 def place(u_sql: str, length) -> str:

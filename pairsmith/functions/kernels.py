@@ -14,7 +14,8 @@ def check_pooling(strategy: str) -> str:
 
 
 def pool_batch(hidden: np.ndarray, mask: np.ndarray, strategy: str) -> np.ndarray:
-    """Pool one model batch ``[rows, tokens, dim]`` inside a task."""
+    """Pool one model batch ``[rows, tokens, dim]`` inside a task. A row without a kept token has no mean: NaN, which
+    ``embed`` turns into a null vector."""
     if strategy == "cls":
         return hidden[:, 0]
     keep = mask.astype(bool)[..., None]

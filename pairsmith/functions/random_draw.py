@@ -9,20 +9,20 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-LANES = 4  # 32-bit numbers per 128-bit digest
+LANES = 2  # 53-bit numbers per 128-bit digest
 
 
 def digest(seed: int, tag: str, row_id: Column, block: Column | int = 0) -> Column:
-    """Hex MD5 that holds the draws of attempts ``4 * block`` to ``4 * block + 3``."""
+    """Hex MD5 that holds the draws of attempts ``2 * block`` and ``2 * block + 1``."""
     block_text = block.cast("string") if isinstance(block, Column) else F.lit(str(block))
     return F.md5(F.concat(F.lit(f"{seed}:{tag}:"), row_id.cast("string"), F.lit(":"), block_text))
 
 
 def lane(digest_hex: Column, number: Column | int) -> Column:
-    """Draw ``number`` (0 to 3) of a digest, in [0, 1) with 32 bits."""
-    start = number * 8 + 1
-    hex8 = F.substring(digest_hex, start, 8)
-    return F.conv(hex8, 16, 10).cast("double") / F.lit(4294967296.0)
+    """Draw ``number`` (0 or 1) of a digest, in [0, 1) with 53 bits."""
+    start = number * 16 + 1
+    hex14 = F.substring(digest_hex, start, 14)
+    return F.shiftright(F.conv(hex14, 16, 10).cast("long"), 3).cast("double") / F.lit(float(1 << 53))
 
 
 def uniform(seed: int, tag: str, row_id: Column, attempt: Column | int = 0) -> Column:

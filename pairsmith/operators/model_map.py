@@ -6,6 +6,7 @@ A model is named in a registry and built once per task. Rows keep all their colu
 
 from __future__ import annotations
 
+import hashlib
 import json
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
@@ -13,6 +14,7 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,7 +33,7 @@ _embedders: dict[str, Callable[[dict], Embedder]] = {}
 
 
 def register_generator(name: str, factory: Callable[[dict], Generator], chat: bool = True) -> None:
-    """``factory(options)`` builds the model inside a task; ``chat`` models get message lists."""
+    """``factory(options)`` builds the model, once per worker process; ``chat`` models get message lists."""
     _generators[name] = (factory, chat)
 
 
@@ -98,8 +100,24 @@ def _chunks(length: int, size: int | None) -> Iterator[slice]:
     return (slice(start, start + step) for start in range(0, length, step))
 
 
-def _clean(text: str | None) -> str:
-    return "" if text is None else text.encode("utf-8", "replace").decode("utf-8")
+_loaded: dict[bytes, Any] = {}  # models of this worker process
+
+
+def _model(key: bytes, factory: Callable[[dict], Any], options: dict) -> Any:
+    """The model of a worker process, built by the first task that needs it and kept for later ones."""
+    if key not in _loaded:
+        _loaded[key] = factory(options)
+    return _loaded[key]
+
+
+def _model_key(factory: Callable[[dict], Any], options: dict) -> bytes:
+    """The same for the same factory code and options in all tasks."""
+    return hashlib.sha256(cloudpickle.dumps((factory, sorted(options.items(), key=repr)))).digest()
+
+
+def _text_or_empty(text: str | bytes | None) -> str:
+    """Binary input may hold what is no UTF-8; text from Spark can't."""
+    return text.decode("utf-8", "replace") if isinstance(text, bytes) else text or ""
 
 
 def generate(df: DataFrame, config: GenerationConfig, text: str = "formatted_prompt",
@@ -107,6 +125,7 @@ def generate(df: DataFrame, config: GenerationConfig, text: str = "formatted_pro
     """Add the model's reply to every row. An empty table gives an empty table."""
     factory, chat = _lookup(_generators, config.model_type, "generator")
     options, batch_size = config.options, config.batch_size
+    key = _model_key(factory, options)
     row_params = F.col(sampling_params) if sampling_params else None
     prompt = chat_messages(F.col(text), config.default_system_prompt) if chat else F.col(text)
     keep = df.columns
@@ -115,9 +134,8 @@ def generate(df: DataFrame, config: GenerationConfig, text: str = "formatted_pro
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = None
         for batch in batches:
-            model = model or factory(options)
+            model = _model(key, factory, options)
             prompts = batch.column("_prompt").to_pylist()
             params = [{k: json.loads(v) for k, v in (p or [])} for p in batch.column("_params").to_pylist()]
             replies: list[str] = []
@@ -141,6 +159,7 @@ def embed(df: DataFrame, config: EmbeddingConfig, texts: dict[str, str], keep: l
     factory = _lookup(_embedders, config.model_type, "embedder")
     strategy = check_pooling(config.pooling_strategy)
     options = {**config.options, "max_length": config.max_length}
+    key = _model_key(factory, options)
     batch_size, normalize = config.batch_size, config.normalize
     keep = df.columns if keep is None else keep
     pairs = list(texts.items())
@@ -156,17 +175,17 @@ def embed(df: DataFrame, config: EmbeddingConfig, texts: dict[str, str], keep: l
             blocks.append(normalise_batch(block) if normalize else block)
         matrix = np.concatenate(blocks).astype(np.float32)
         offsets = np.arange(len(matrix) + 1, dtype=np.int32) * matrix.shape[1]
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(matrix.reshape(-1)))
+        nothing = np.isnan(matrix).all(axis=1) if matrix.shape[1] else np.zeros(len(matrix), bool)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(matrix.reshape(-1)), mask=pa.array(nothing))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = None
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            model = model or factory(options)
+            model = _model(key, factory, options)
             columns = [batch.column(name) for name in keep]
             for i in range(len(pairs)):
-                columns.append(to_vectors(model, [_clean(t) for t in batch.column(f"_text{i}").to_pylist()]))
+                columns.append(to_vectors(model, [_text_or_empty(t) for t in batch.column(f"_text{i}").to_pylist()]))
             yield pa.RecordBatch.from_arrays(columns, names=[*keep, *[v for _, v in pairs]])
 
     vector = T.ArrayType(T.FloatType())

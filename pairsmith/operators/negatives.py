@@ -16,6 +16,9 @@ from pairsmith.operators.ordering import hot_hashes, join_to_unique
 from pairsmith.session import materialise
 
 
+RANGE_ROWS = 1_000_000  # of the ranges of ids that one task walks through, about
+
+
 @dataclass
 class HardNegativeConfig:
     """``avoid_own_positive`` skips the fallback that gives a row its own positive."""
@@ -79,7 +82,7 @@ def next_other(rows: DataFrame) -> DataFrame:
     """
     spark = rows.sparkSession
     # With a set number of ranges, adaptive execution leaves them as they are.
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), rows.count() // RANGE_ROWS)
     ranged = materialise(rows.repartitionByRange(ranges, "id").withColumn("range", F.spark_partition_id()), "ranges")
     after = Window.partitionBy("range").orderBy(F.desc("id")).rowsBetween(Window.unboundedPreceding, -1)
     here = F.struct("id", "key")
@@ -116,11 +119,17 @@ def next_other(rows: DataFrame) -> DataFrame:
 
 
 def pick_negatives(df: DataFrame, vectors: DataFrame, config: HardNegativeConfig) -> DataFrame:
-    """``hard_negatives`` with given vectors: ``(id, query_vector, positive_vector)``, one row per triple."""
+    """``hard_negatives`` with given vectors: ``(id, query_vector, positive_vector)``, at most one row per triple.
+
+    A triple without a vector has no neighbours, and its negative is the next differing row's positive.
+    """
+    for name, rows in (("triples", df), ("vectors", vectors)):
+        if not rows.groupBy("id").count().where("count > 1").isEmpty():
+            raise ValueError(f"ids of the {name} repeat")
     if "key" in vectors.columns:
         joined = vectors
     else:
-        joined = materialise(df.select("id", *_marks(df)).join(vectors, "id"), "keyed-vectors")
+        joined = materialise(df.select("id", *_marks(df)).join(vectors, "id", "left"), "keyed-vectors")
     queries = joined.select(F.col("id").alias("q"), F.col("query_vector").alias("vector"), "key")
     corpus = joined.select(F.col("id").alias("d"), F.col("positive_vector").alias("vector"), "key", "blank")
     near = neighbours.top_k(queries, corpus, config.top_k, payload=["key", "blank"])
@@ -143,7 +152,7 @@ def pick_negatives(df: DataFrame, vectors: DataFrame, config: HardNegativeConfig
     negatives = join_to_unique(picks, texts, ["pick"], "id", hot).select("id", "negative", "negative_branch")
     rest = df.drop("negative", "negative_branch")
     order = [*df.columns, *[c for c in ("negative", "negative_branch") if c not in df.columns]]
-    return rest.join(negatives, "id").select(*order)
+    return rest.join(negatives, "id", "left").select(*order)
 
 
 def hard_negatives(df: DataFrame, config: HardNegativeConfig) -> DataFrame:
@@ -153,4 +162,5 @@ def hard_negatives(df: DataFrame, config: HardNegativeConfig) -> DataFrame:
     ``next_row`` (the next differing row by id), ``unresolved`` (no differing positive exists;
     the negative is null). The table needs an ``id``; see ``ordering.with_row_id``.
     """
+    df = materialise(df, "triples")  # replies of a model must not be generated anew for each use
     return pick_negatives(df, embed_triples(df, config), config)

@@ -12,6 +12,9 @@ best, and equal query vectors have equal results. Groups of any size are cut int
 size, and a tile of queries and a tile of vectors meet in one matrix product. Scores are rounded
 to 6 digits, and ties go to the lower id, so that the order does not depend on the order of
 floating-point sums.
+
+A vector that is null or empty, or holds a null, NaN or infinite value, has no neighbours and is
+nobody's neighbour. Vectors of different lengths are an error.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pairsmith.operators.ordering import HOT_MINIMUM, hot_hashes, join_to_unique
+from pairsmith.operators.ordering import hot_hashes, join_to_unique
 from pairsmith.session import materialise
 
 TILE_ROWS = 2048      # expected rows per side of a tile
@@ -33,7 +36,6 @@ MAX_PIVOTS = 2048     # bounds what the driver and every task hold: pivots, and
 DIGITS = 6
 SLACK = 2 * 10.0**-DIGITS
 BLOCK_COLUMNS = 32
-FEW_PAIRS = 2**32     # up to here (1024 pairs of tiles) all tiles meet, which costs less than choosing
 
 
 def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -41,9 +43,10 @@ def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     rows = len(column)
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    if rows and len(flat) % rows:
+    lengths = column.value_lengths().to_numpy(zero_copy_only=False)
+    if rows and not (lengths == lengths[0]).all():  # a null has no length, and NaN equals nothing
         raise ValueError("vectors differ in length")
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     return flat.reshape(rows, -1)
 
 
@@ -52,6 +55,14 @@ def _unit(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return matrix / np.maximum(norms, 1e-300)[:, None], norms
 
 
+def usable(vector: str) -> Column:
+    """Whether a vector can be compared: neither null nor empty, and all its values are finite."""
+    def finite(x: Column) -> Column:
+        return x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))
+
+    return F.coalesce((F.size(vector) > 0) & F.forall(vector, finite), F.lit(False))
+
+
 def _hashed(df: DataFrame) -> DataFrame:
     """Equal vectors meet by hash and vector: the hash leads, so sorting rarely compares vectors."""
     return df.withColumn("hash", F.xxhash64("vector"))
@@ -67,7 +78,7 @@ def _no_floor() -> Column:
 def _distinct_corpus(corpus: DataFrame, k: int) -> DataFrame:
     """Of equal vectors the k lowest ids; the limit is applied before the shuffle as well."""
     rank = F.row_number().over(Window.partitionBy(*VECTOR_KEY).orderBy("d"))
-    return _hashed(corpus).withColumn("_copy", rank).where(F.col("_copy") <= k).drop("_copy", "hash")
+    return _hashed(corpus).withColumn("_copy", rank).where(F.col("_copy") <= k).drop("hash")
 
 
 def _distinct_queries(queries: DataFrame) -> DataFrame:
@@ -75,8 +86,8 @@ def _distinct_queries(queries: DataFrame) -> DataFrame:
 
 
 def _pivots(corpus: DataFrame, count: int) -> np.ndarray:
-    """A repeatable choice of ``count`` distinct unit vectors."""
-    picked = corpus.select("vector").distinct().orderBy(F.xxhash64("vector"), "vector").limit(count).collect()
+    """A repeatable choice of ``count`` distinct unit vectors; of equal ones the first copy counts."""
+    picked = corpus.where("_copy = 1").select("vector").orderBy(F.xxhash64("vector"), "vector").limit(count).collect()
     unit, _ = _unit(np.array([r["vector"] for r in picked], dtype=np.float64).reshape(len(picked), -1))
     return unit
 
@@ -241,7 +252,7 @@ def _per_vector(queries: DataFrame, corpus: DataFrame, corpus_size: int, k: int,
     docs = materialise(_distinct_corpus(corpus, k), "corpus")
     asked = materialise(_distinct_queries(queries), "queries")
     centres = _pivots(docs, pivots or min(MAX_PIVOTS, max(2, corpus_size // TILE_ROWS)))
-    docs = materialise(_assign(docs, centres), "corpus-cells")
+    docs = materialise(_assign(docs.drop("_copy"), centres), "corpus-cells")
     rows = docs.groupBy("cell").agg(
         F.count(F.lit(1)).alias("count"), F.max("angle").alias("angle"), F.max("norm").alias("norm")
     ).collect()  # at most MAX_PIVOTS rows
@@ -273,19 +284,13 @@ def top_k(queries: DataFrame, corpus: DataFrame, k: int, payload: list[str] | No
     ``k`` above the corpus size gives the whole corpus.
     """
     payload = payload or []
-    corpus_size, asked = corpus.count(), queries.count()
-    if pivots is None and corpus_size * asked <= FEW_PAIRS and max(corpus_size, asked) <= HOT_MINIMUM:
-        # One group of a bounded number of tiles, and no key can be hot.
-        docs = corpus.withColumn("cell", F.lit(0))
-        visits = queries.select("q", "vector", _no_floor().alias("floor"), F.array(F.lit(0)).alias("cells"))
-        found = _tile_join(visits, {0: asked}, docs, {0: corpus_size}, k, payload)
-        return queries.join(_lists(found, k, payload), "q", "left")
-    per_vector = materialise(
-        _per_vector(queries.select("q", "vector"), corpus, corpus_size, k, payload, pivots), "neighbours"
-    )
+    corpus = corpus.where(usable("vector"))
+    asked = queries.where(usable("vector")).select("q", "vector")
+    per_vector = materialise(_per_vector(asked, corpus, corpus.count(), k, payload, pivots), "neighbours")
     hot = hot_hashes(per_vector, VECTOR_KEY)
     joined = join_to_unique(_hashed(queries), per_vector.drop("count"), VECTOR_KEY, "q", hot)
-    return joined.select(*queries.columns, "neighbours")
+    kind = dict(per_vector.dtypes)["neighbours"]
+    return joined.select(*queries.columns, F.coalesce("neighbours", F.array().cast(kind)).alias("neighbours"))
 
 
 def exploded(matched: DataFrame) -> DataFrame:

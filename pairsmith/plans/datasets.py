@@ -13,7 +13,7 @@ from pairsmith.operators.negatives import HardNegativeConfig, hard_negatives
 from pairsmith.operators.schema import PromptSchema
 from pairsmith.operators.triples import REPLY_KEYS, triples
 from pairsmith.plans import presets
-from pairsmith.session import release
+from pairsmith.session import scratch
 from pairsmith.sources.files import REPLY_SCHEMA, TRIPLE_SCHEMA, read_jsonl, run_step
 
 BRAINSTORMED = ("short_short", "short_long", "long_short", "long_long")
@@ -38,6 +38,12 @@ class DatasetConfig:
     brainstorm: PromptSchema | None = None
 
 
+def _with_defaults(model: GenerationConfig, params: dict) -> GenerationConfig:
+    """The step's usual sampling parameters and system prompt, where the configuration sets none."""
+    prompt = presets.SYSTEM_PROMPT if model.default_system_prompt is None else model.default_system_prompt
+    return replace(model, default_sampling_params={**params, **model.default_sampling_params}, default_system_prompt=prompt)
+
+
 def _replies(spark: SparkSession, schema: PromptSchema, n: int, seed: int, model: GenerationConfig,
              path: str, overwrite: bool) -> DataFrame:
     """Sampled prompts with model replies, as a JSON Lines table."""
@@ -48,21 +54,28 @@ def _replies(spark: SparkSession, schema: PromptSchema, n: int, seed: int, model
 def build(spark: SparkSession, data_type: str, config: DatasetConfig) -> DataFrame:
     """Run the steps of one data type; steps whose table is complete are skipped.
 
-    Every step ends in a table, so that nothing is generated or embedded twice, whatever fails later.
+    Every step ends in a table, so that nothing is generated or embedded twice, whatever fails later. The result is
+    read from the last one; the tables that steps wrote on their way go.
     """
+    with scratch(spark):
+        return _build(spark, data_type, config)
+
+
+def _build(spark: SparkSession, data_type: str, config: DatasetConfig) -> DataFrame:
     folder = config.folder.rstrip("/")
     at = lambda step: f"{folder}/{data_type}_{step}"
     tasks = None
     if data_type in BRAINSTORMED:
         talk = _replies(spark, config.brainstorm or presets.brainstorm_schema(data_type), config.n_brainstorms,
-                        config.seed, config.brainstorm_generation or config.generation,
+                        config.seed, _with_defaults(config.brainstorm_generation or config.generation, presets.BRAINSTORM_PARAMS),
                         at("brainstorm"), config.overwrite)
         tasks = at("ideas")
         run_step(spark, lambda: distinct_ideas(talk), tasks, "json", config.overwrite)
     schema = config.schema or presets.schema_for(data_type, tasks)
     if config.schema is not None and tasks is not None:
         schema = replace(config.schema, args={**config.schema.args, "task": tasks})
-    replies = _replies(spark, schema, config.n_samples, config.seed, config.generation, at("samples"), config.overwrite)
+    replies = _replies(spark, schema, config.n_samples, config.seed,
+                       _with_defaults(config.generation, presets.GENERATION_PARAMS), at("samples"), config.overwrite)
     run_step(spark, lambda: triples(replies, data_type), at("triples"), "jsonl", config.overwrite)
     result = read_jsonl(spark, at("triples"), TRIPLE_SCHEMA)
     if data_type in WITH_HARD_NEGATIVES:
@@ -71,7 +84,6 @@ def build(spark: SparkSession, data_type: str, config: DatasetConfig) -> DataFra
         mining = HardNegativeConfig(config.embedding, config.top_k, presets.QUERY_TEMPLATE, presets.DOCUMENT_TEMPLATE, config.seed)
         run_step(spark, lambda: hard_negatives(result, mining), at("final"), "jsonl", config.overwrite)
         result = read_jsonl(spark, at("final"), TRIPLE_SCHEMA)
-    release(spark)
     return result
 
 

@@ -10,17 +10,19 @@ from pairsmith.operators.schema import PromptSchema
 
 # --- fixed values ----------------------------------------------------------------------------
 # Languages in their order; "Burmese" stands twice, and both places can be drawn.
-LANGUAGES = (
-    "English, Arabic, Chinese, Dutch, French, German, Indonesian, Italian, Japanese, Persian, Polish, Portuguese, "
-    "Russian, Spanish, Afrikaans, Albanian, Amharic, Armenian, Assamese, Azerbaijani, Basque, Belarusian, Bengali, "
-    "Bengali Romanized, Bosnian, Breton, Burmese, Burmese, Catalan, Croatian, Czech, Danish, Esperanto, Estonian, "
-    "Filipino, Finnish, Galician, Georgian, Greek, Gujarati, Hausa, Hebrew, Hindi, Hindi Romanized, Hungarian, "
-    "Icelandic, Irish, Javanese, Kannada, Kazakh, Khmer, Korean, Kurdish, Kyrgyz, Lao, Latin, Latvian, Lithuanian, "
-    "Macedonian, Malagasy, Malay, Malayalam, Marathi, Mongolian, Nepali, Norwegian, Oriya, Oromo, Pashto, Punjabi, "
-    "Romanian, Sanskrit, Scottish Gaelic, Serbian, Sindhi, Sinhala, Slovak, Slovenian, Somali, Sundanese, Swahili, "
-    "Swedish, Tamil, Tamil Romanized, Telugu, Telugu Romanized, Thai, Turkish, Ukrainian, Urdu, Urdu Romanized, "
-    "Uyghur, Uzbek, Vietnamese, Welsh, Western Frisian, Xhosa, Yiddish"
-).split(", ")
+LANGUAGES = [
+    "English", "Arabic", "Chinese", "Dutch", "French", "German", "Indonesian", "Italian", "Japanese", "Persian",
+    "Polish", "Portuguese", "Russian", "Spanish", "Afrikaans", "Albanian", "Amharic", "Armenian", "Assamese",
+    "Azerbaijani", "Basque", "Belarusian", "Bengali", "Bengali Romanized", "Bosnian", "Breton", "Burmese",
+    "Burmese", "Catalan", "Croatian", "Czech", "Danish", "Esperanto", "Estonian", "Filipino", "Finnish",
+    "Galician", "Georgian", "Greek", "Gujarati", "Hausa", "Hebrew", "Hindi", "Hindi Romanized", "Hungarian",
+    "Icelandic", "Irish", "Javanese", "Kannada", "Kazakh", "Khmer", "Korean", "Kurdish", "Kyrgyz", "Lao", "Latin",
+    "Latvian", "Lithuanian", "Macedonian", "Malagasy", "Malay", "Malayalam", "Marathi", "Mongolian", "Nepali",
+    "Norwegian", "Oriya", "Oromo", "Pashto", "Punjabi", "Romanian", "Sanskrit", "Scottish Gaelic", "Serbian",
+    "Sindhi", "Sinhala", "Slovak", "Slovenian", "Somali", "Sundanese", "Swahili", "Swedish", "Tamil",
+    "Tamil Romanized", "Telugu", "Telugu Romanized", "Thai", "Turkish", "Ukrainian", "Urdu", "Urdu Romanized",
+    "Uyghur", "Uzbek", "Vietnamese", "Welsh", "Western Frisian", "Xhosa", "Yiddish",
+]
 # English, then the 13 other large languages, then all others.
 LANGUAGE_WEIGHTS = [0.431] + [0.029] * 13 + [0.0022857142857142824] * 84
 SCHOOL_LEVELS = ["elementary school", "high school", "college"]

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,7 +37,7 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
-_written: list[str] = []
+_written: ContextVar[list[str] | None] = ContextVar("written", default=None)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
@@ -45,7 +49,8 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
-    _written.append(path)
+    if _written.get() is not None:
+        _written.get().append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -56,15 +61,25 @@ def spread(df: DataFrame, key: str = "id") -> DataFrame:
     a key, unlike dealing rows out in turn, sends a row to the same task when a stage is retried.
     """
     execution = df._jdf.queryExecution()
-    if key not in df.columns or "Exchange" in execution.executedPlan().toString():
+    if key not in df.columns or re.search(r"(?<!Broadcast)Exchange", execution.executedPlan().toString()):
         return df  # the last shuffle has set the number of partitions; asking for it would run it
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores, key) if execution.toRdd().getNumPartitions() < cores else df
 
 
-def release(spark: SparkSession) -> None:
-    """Delete the tables that ``materialise`` has written. Call it once their results are stored."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    while _written:
-        target = hadoop(_written.pop())
-        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete, at the end, the tables that ``materialise`` writes inside this block, and no others.
+
+    What is to outlive the block has to be stored in it.
+    """
+    paths: list[str] = []
+    outer = _written.set(paths)
+    try:
+        yield
+    finally:
+        _written.reset(outer)
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for path in paths:
+            target = hadoop(path)
+            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

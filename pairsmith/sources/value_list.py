@@ -43,10 +43,19 @@ def read_value_list(spark: SparkSession, path: str) -> ValueList:
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_line"),
     )
+    place = F.struct("_file", "_block", "_line")
+    ends = lines.where(F.trim("value") != "").agg(F.min_by("value", place).alias("a"), F.max_by("value", place).alias("z")).first()
+    if not (ends["a"] or "").strip().startswith("[") or not (ends["z"] or "").strip().endswith("]"):
+        raise ValueError(f"{path} is not a JSON array")
     inner = F.regexp_replace(F.regexp_replace("value", r"^\s*[\[,]?\s*", ""), r"\s*[\],]?\s*$", "")
     piece = F.concat(F.lit("["), inner, F.lit("]"))
-    parsed = F.from_json(piece, "array<string>", {"mode": "FAILFAST"})
-    items = lines.select("_file", "_block", "_line", F.posexplode(parsed).alias("_pos", "value"))
+    texts = F.from_json(piece, "array<string>", {"mode": "FAILFAST"})
+    kinds = F.from_json(piece, "array<variant>", {"mode": "FAILFAST"})
+    truth = F.initcap("value")  # as inline lists have it: True and False
+    parsed = F.arrays_zip(texts.alias("value"), F.transform(kinds, lambda v: F.schema_of_variant(v) == "BOOLEAN").alias("truth"))
+    items = lines.select("_file", "_block", "_line", F.posexplode(parsed).alias("_pos", "_item")).select(
+        "_file", "_block", "_line", "_pos", F.col("_item.value").alias("value"), F.col("_item.truth").alias("_truth"))
+    items = items.withColumn("value", F.when(F.col("_truth"), truth).otherwise(F.col("value"))).drop("_truth")
     numbered, length = dense_index(
         items, [F.col("_file"), F.col("_block"), F.col("_line"), F.col("_pos")], label="value-list", unique=True
     )

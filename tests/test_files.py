@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pairsmith.plans.postprocessors import postprocessor, register_postprocessor
-from pairsmith.session import materialise, prepare, release
+from pairsmith.session import materialise, prepare, scratch
 from pairsmith.sources.files import is_complete, read_csv, read_jsonl, run_step, write_json_array, write_table
 from pairsmith.sources.value_list import read_value_list
 
@@ -77,12 +77,23 @@ def test_steps(spark, table, tmp_path):
     assert run_step(spark, build).count() == len(TEXTS)
 
 
-def test_materialised_tables_can_be_released(spark, table):
-    kept = materialise(table, "kept")
-    path = kept.inputFiles()[0].removeprefix("file://")
-    assert kept.count() == len(TEXTS) and os.path.exists(path)
-    release(spark)
-    assert not os.path.exists(path)
+def test_a_block_deletes_its_own_tables_only(spark, table):
+    at = lambda df: df.inputFiles()[0].removeprefix("file://")
+    before = materialise(table, "kept")
+    with scratch(spark):
+        inside = materialise(table, "gone")
+        path = at(inside)
+        assert inside.count() == len(TEXTS) and os.path.exists(path)
+    assert not os.path.exists(path) and before.count() == len(TEXTS)
+
+
+def test_only_arrays_are_value_lists(spark, tmp_path):
+    path = tmp_path / "list.json"
+    path.write_text('["a", true, "true", 1, 2.5, null]')
+    assert [r.value for r in read_value_list(spark, str(path)).df.orderBy("idx").collect()] == ["a", "True", "true", "1", "2.5", "None"]
+    path.write_text('{"a": 1}')
+    with pytest.raises(ValueError):
+        read_value_list(spark, str(path))
 
 
 def test_postprocessors(spark):

@@ -44,9 +44,7 @@ def clustered(n, dim, seed, copies=0, unit=True):
 @pytest.fixture
 def small_tiles(monkeypatch):
     monkeypatch.setattr(neighbours, "TILE_ROWS", 40)
-    monkeypatch.setattr(neighbours, "FEW_PAIRS", 0)
     monkeypatch.setattr(ordering, "HOT_MINIMUM", 20)
-    monkeypatch.setattr(neighbours, "HOT_MINIMUM", 20)
 
 
 @pytest.mark.parametrize("unit", [True, False])
@@ -80,16 +78,38 @@ def test_groups_are_pruned(spark, small_tiles, monkeypatch):
     assert sum(visits[0].values()) + sum(visits[1].values()) < 600 * 12  # of 600 * 30 without pruning
 
 
-@pytest.mark.parametrize("prune", [True, False])
-def test_k_above_the_corpus(spark, monkeypatch, prune):
-    if prune:
-        monkeypatch.setattr(neighbours, "FEW_PAIRS", 0)
+def test_k_above_the_corpus(spark):
     docs = clustered(6, 4, 7, copies=3)
     queries = clustered(4, 4, 8)
     got = found_by(neighbours.top_k(frame(spark, queries, "q"), frame(spark, docs, "d"), 50))
     assert got == brute_force(queries, docs, 50)
 
 
+def test_unusable_vectors_are_set_apart(spark):
+    docs, queries = clustered(120, 4, 7), clustered(90, 4, 8)
+    bad = [None, [], [1.0, None, 0.0, 0.0], [float("nan")] * 4, [float("inf"), 0.0, 0.0, 0.0]]
+    kind = "array<float>"
+    more = lambda name: spark.createDataFrame([(9000 + i, v) for i, v in enumerate(bad)], f"{name} long, vector {kind}")
+    matched = neighbours.top_k(frame(spark, queries, "q").unionByName(more("q")), frame(spark, docs, "d").unionByName(more("d")), 100, pivots=6)
+    assert matched.where("q >= 9000 and size(neighbours) = 0").count() == len(bad)
+    assert found_by(matched.where("q < 9000")) == brute_force(queries, docs, 100)
+
+
+def test_vectors_of_different_lengths_are_refused(spark):
+    rows = spark.createDataFrame([(1, [1.0] * 3), (2, [1.0] * 5), (3, [1.0] * 4)], "q long, vector array<float>")
+    with pytest.raises(Exception, match="length|shape|inhomogeneous"):
+        neighbours.top_k(rows, rows.withColumnRenamed("q", "d"), 2).collect()
+
+
+def test_one_row_out_per_row_in(spark):
+    df = spark.createDataFrame([(i, f"q{i}", f"p{i}", "old") for i in range(5)], "id long, query string, positive string, negative string")
+    vectors = spark.createDataFrame([(i, [1.0, float(i)], [1.0, float(i)]) for i in range(2)], "id long, query_vector array<float>, positive_vector array<float>")
+    got = {r.id: (r.negative, r.negative_branch) for r in negatives.pick_negatives(df, vectors, negatives.HardNegativeConfig(top_k=2)).collect()}
+    assert got == {0: ("p1", "neighbour"), 1: ("p0", "neighbour"), 2: ("p3", "next_row"), 3: ("p4", "next_row"), 4: ("p0", "next_row")}
+    with pytest.raises(ValueError):
+        negatives.pick_negatives(df.union(df.limit(1)), vectors, negatives.HardNegativeConfig(top_k=2))
+
+
 def test_tile_selection_with_and_without_ties():
     rng = np.random.default_rng(9)
     ids = rng.permutation(4000)[:2000]

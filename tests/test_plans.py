@@ -44,7 +44,9 @@ def test_top_k_limits_groups_early_and_has_no_cross_join(spark, monkeypatch):
     corpus = queries.withColumnRenamed("q", "d")
     assert "WindowGroupLimit" in plan(neighbours._distinct_corpus(corpus, 5))
     text = plan(neighbours.top_k(queries, corpus, 5))
-    assert "WindowGroupLimit" in text and "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+    partial = spark.createDataFrame([(1, 2, 0.5)], "q long, d long, score double")
+    assert "WindowGroupLimit" in plan(neighbours._best(partial, 5))
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
 def test_library_never_uses_local_checkpoints_or_cross_joins():
