@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairsmith.functions import random_draw
+from pairsmith.functions.binding import let
 from pairsmith.functions import template as tpl
 from pairsmith.operators.ordering import join_to_unique
 from pairsmith.operators.schema import PromptSchema
@@ -18,7 +19,6 @@ from pairsmith.sources.value_list import ValueList
 
 INLINE_VALUES = 10_000        # longer lists are joined by index instead of inlined
 DIRECT_WEIGHTS = 200_000      # longest list whose weights go into the plan of a constrained pair
-GUIDE_STEPS = 3
 SEPARATOR = "\u001f"
 
 
@@ -57,20 +57,18 @@ class Weights:
         """The first ``i`` with ``u < cdf[i]``.
 
         A table of starting points cuts [0, 1) into equal slices; with enough slices only a few
-        steps remain, whatever the length of the list. ``u`` should be a plain column.
+        steps remain in most of them. The rest is a binary search over the steps of the widest
+        slice, each of its stages one look into the running sum. ``u`` should be a plain column.
         """
         slices = 1 << max(8, math.ceil(math.log2(4 * len(self.cdf))))
         edges = np.arange(slices + 1) / slices
         start = np.searchsorted(self.cdf, edges[:-1], side="right")
         steps = int((np.searchsorted(self.cdf, edges[1:], side="left") - start).max())
         cdf = number_array(self.cdf.tolist(), "double")
-        if steps > GUIDE_STEPS:
-            return F.size(F.filter(cdf, lambda c: c <= u))
-        guess = F.get(number_array(start.tolist(), "int"), F.floor(u * slices).cast("int"))
-        index = guess
-        for step in range(steps):
-            passed = F.coalesce(F.get(cdf, guess + step) <= u, F.lit(False))
-            index = index + passed.cast("int")
+        index = F.get(number_array(start.tolist(), "int"), F.floor(u * slices).cast("int"))
+        for bit in reversed(range(steps.bit_length())):
+            step = 1 << bit  # ``let`` uses the body at once
+            index = let(index, lambda i: i + F.when(F.get(cdf, i + (step - 1)) <= u, step).otherwise(0))  # noqa: B023
         return index
 
 
@@ -256,7 +254,9 @@ def _attach_values(df: DataFrame, argument: Argument) -> DataFrame:
             ids = spark.createDataFrame([(int(i),) for i in heavy], f"{index} long")
             hot = [r["h"] for r in ids.select(F.xxhash64(index).alias("h")).collect()]
     # Spark broadcasts the list if it is small enough for that, and shuffles both sides otherwise.
-    return join_to_unique(rows, dim, [index], "id", hot, how="inner").drop(index)
+    found = join_to_unique(rows, dim.withColumn("_known", F.lit(True)), [index], "id", hot)
+    missing = F.raise_error(F.lit(f"the list of {argument.name} has no value for an index that was drawn"))
+    return found.withColumn(target, F.when(F.col("_known"), F.col(target)).otherwise(missing)).drop(index, "_known")
 
 
 def draw_values(ids: DataFrame, schema: PromptSchema, seed: int) -> DataFrame:

@@ -202,3 +202,16 @@ def test_presets_match_their_counts():
         presets.schema_for("short_long")
     with pytest.raises(ValueError):
         presets.schema_for("other")
+
+
+@pytest.mark.parametrize("length,power", [(1000, 1.2), (10_000, 1.5), (5, 0.0), (1, 0.0)])
+def test_a_skewed_list_is_searched_exactly(spark, length, power):
+    import numpy as np
+
+    weights = sampling.Weights.of(1.0 / np.arange(1, length + 1) ** power)
+    numbers = np.random.default_rng(4).random(2000)
+    edges = weights.cdf[np.random.default_rng(5).integers(0, length, 200)]
+    u = np.concatenate([numbers, edges[edges < 1], np.nextafter(edges, 0), [0.0]])
+    df = spark.createDataFrame([(float(x),) for x in u], "u double")
+    got = {r.u: r.i for r in df.select("u", weights.index(F.col("u")).alias("i")).collect()}
+    assert all(got[float(x)] == int(np.searchsorted(weights.cdf, x, side="right")) for x in u)
