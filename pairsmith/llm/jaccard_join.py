@@ -41,7 +41,7 @@ from pairsmith.llm.text import Words, grams, mix, slices
 WORDS = 5
 SHARE = (75, 100)
 TOKENS_PER_SHARD = 1_000_000
-TOKENS_PER_TASK_STEP = 800_000  # tokens of a task's documents that are looked at together
+TOKENS_PER_TASK_STEP = 600_000  # tokens of a task's documents that are looked at together
 FREQUENT = 64          # a token is put last from so many documents on, as far as they were seen together
 MOST_FREQUENT = 1 << 20  # tokens put last at most (8 MB); others stay in their place, which is as exact
 BLOCK = 256

@@ -38,7 +38,7 @@ SLOTS = 1 << 20
 PROBES = 3
 UND = "und"
 SIZES = (3, 4)
-CHUNK = 1 << 20  # code points handled at a time
+CHUNK = 1 << 18  # code points handled at a time
 
 _letters: np.ndarray | None = None
 

@@ -37,7 +37,7 @@ from pairsmith.llm.text import mix, slices
 ORDER = 5
 QUANTILE = 0.99
 SHARD_ENTRIES = 2_000_000
-STEP_BYTES = 1 << 20
+STEP_BYTES = 1 << 19
 START = "\x00"
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 

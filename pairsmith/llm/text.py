@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1 << 20  # text handled at a time; bounds the temporary arrays, not the result
+SLICE_BYTES = 1 << 19  # text handled at a time; bounds the temporary arrays, not the result
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
 _SEPARATOR = np.zeros(256, bool)

@@ -15,7 +15,7 @@ import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-REMEMBERED = 600_000
+REMEMBERED = 450_000
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
 _PLAIN = re.compile(rf"[!-~{_LETTERS}\n]+")
