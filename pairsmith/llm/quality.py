@@ -8,8 +8,10 @@ of distinct left neighbours below the highest order, down to a uniform distribut
 
 Scoring joins the characters of every whole document with the model in shards. All entries that one character needs
 share the character before it, which picks the shard, so a shard's part of a document's log-probability is complete
-in itself and parts add up. A shard has about ``SHARD_ENTRIES`` entries, is sent to all tasks, and the documents are
-read once for each; a small model is one shard.
+in itself and parts add up. A character that stands before very many entries is split by the one before it; its few
+shorter entries go to every shard. A shard has about ``SHARD_ENTRIES`` entries and is a folder of files that each
+worker process reads for itself, so the model never passes through the driver; the documents are read once for each
+shard, and a small model is one shard.
 
 One in five trusted documents doesn't train. The ``QUANTILE`` of their perplexities, by language (null is a language
 of its own), is the threshold that documents of the language have to keep to.
@@ -31,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairsmith.llm.blocks import only_some
-from pairsmith.llm.tables import bounded_batches, table, written
+from pairsmith.llm.tables import bounded_batches, new_path, table, written
 from pairsmith.llm.text import mix, slices
 
 ORDER = 5
@@ -116,11 +118,15 @@ def model(docs: DataFrame) -> DataFrame:
     return written(rest.unionByName(unseen), "model")
 
 
+HASHED = "kind int, level int, h long, before long, earlier long, value double"
+
+
 def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hash of each entry's gram, and of the character before the predicted one."""
+    """Hash of each entry's gram, and the two characters before the predicted one, -1 where the gram has none."""
     for batch in batches:
         level, kind = batch.column("level").to_numpy(), batch.column("kind").to_numpy()
         h, before = np.zeros(len(level), np.uint64), np.full(len(level), -1, np.int64)
+        earlier = before.copy()
         grams = batch.column("gram").to_pylist()
         size = np.array([len(g) for g in grams])
         for n in np.unique(size[size > 0]):
@@ -129,9 +135,10 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ends = np.arange(1, len(rows) + 1) * n - 1
             h[rows] = hashes(codes, int(n), ends)
             place = ends - (kind[rows] == 0)
-            inside = place >= ends - n + 1
-            before[rows[inside]] = codes[place[inside]].astype(np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column("kind"), batch.column("level"), pa.array(h.view(np.int64)), pa.array(before), batch.column("value")], ["kind", "level", "h", "before", "value"])
+            for column, at in ((before, place), (earlier, place - 1)):
+                inside = at >= ends - n + 1
+                column[rows[inside]] = codes[at[inside]].astype(np.int64)
+        yield pa.RecordBatch.from_arrays([batch.column("kind"), batch.column("level"), pa.array(h.view(np.int64)), pa.array(before), pa.array(earlier), batch.column("value")], ["kind", "level", "h", "before", "earlier", "value"])
 
 
 class Shard:
@@ -171,11 +178,12 @@ class Shard:
 
 def perplexities(docs: DataFrame, entries: DataFrame) -> DataFrame:
     """doc_id, lang, characters and perplexity of every row."""
-    spark = docs.sparkSession
-    hashed = written(entries.mapInArrow(_hashed, "kind int, level int, h long, before long, value double"), "hashed")
-    shards = -(-hashed.count() // SHARD_ENTRIES)
-    every = F.col("before") < 0  # of level 1 and the uniform distribution, at most one entry per character
-    parts = [_part(spark, docs, hashed.where(every | (F.pmod("before", F.lit(shards)) == s)), s, shards) for s in range(shards)]
+    hashed = written(entries.mapInArrow(_hashed, HASHED), "hashed")
+    shards = max(1, -(-hashed.count() // SHARD_ENTRIES))
+    # Characters before a quarter of a shard or more, so at most four for each shard.
+    wide = [r["before"] for r in hashed.where("before >= 0").groupBy("before").count().where(F.col("count") * 4 > SHARD_ENTRIES).collect()] if shards > 1 else []
+    folder = _sharded(hashed, shards, wide)
+    parts = [_part(docs, folder, s, shards, wide) for s in range(shards)]
     if shards == 1:
         total = parts[0]
     else:
@@ -184,16 +192,41 @@ def perplexities(docs: DataFrame, entries: DataFrame) -> DataFrame:
     return total.select("doc_id", "lang", "mark", F.col("n").alias("characters"), F.when(F.col("n") > 0, F.exp(-F.col("logp") / F.col("n"))).alias("perplexity"))
 
 
-def _part(spark: SparkSession, docs: DataFrame, entries: DataFrame, shard: int, shards: int) -> DataFrame:
-    shared = spark.sparkContext.broadcast(entries.toArrow())  # about SHARD_ENTRIES rows
+def _sharded(hashed: DataFrame, shards: int, wide: list[int]) -> str:
+    """Write the entries of each shard to a folder of its own, and return the folder of all."""
+    folder = new_path(hashed.sparkSession, "shards")
+    split = F.col("before").isin(wide) if wide else F.lit(False)
+    own = F.pmod(F.col("before") + F.when(split, F.col("earlier")).otherwise(0), F.lit(shards))
+    # Of level 1, the uniform distribution and the bigrams of split characters: at most one for each pair of the latter.
+    every = (F.col("before") < 0) | (split & (F.col("earlier") < 0))
+    to = F.when(every, F.sequence(F.lit(0), F.lit(shards - 1))).otherwise(F.array(own.cast("int")))
+    placed = hashed.select("kind", "level", "h", "value", F.explode(to).alias("shard"))
+    placed.repartition(shards, "shard").write.partitionBy("shard").parquet(folder)
+    return folder
+
+
+_kept: dict[tuple[str, int], Shard] = {}  # the shard that this worker process read last
+
+
+def _shard(folder: str, shard: int) -> Shard:
+    from pyarrow import dataset, fs
+
+    if (folder, shard) not in _kept:
+        _kept.clear()
+        files, root = fs.FileSystem.from_uri(folder)
+        _kept[folder, shard] = Shard(dataset.dataset(f"{root}/shard={shard}", filesystem=files, format="parquet").to_table())
+    return _kept[folder, shard]
+
 
+def _part(docs: DataFrame, folder: str, shard: int, shards: int, wide: list[int]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Shard(shared.value)
+        own = _shard(folder, shard)
         for batch in slices(batches, limit=STEP_BYTES):
             codes, first = codes_of(batch.column("text").to_pylist())
             at, text = _scored(first)
             if shards > 1:
-                mine = (codes[at - 1] % np.uint64(shards)) == shard
+                key = codes[at - 1] + np.where(np.isin(codes[at - 1], np.array(wide, np.uint64)), codes[at - 2], np.uint64(0))
+                mine = key % np.uint64(shards) == shard
                 at, text = at[mine], text[mine]
             logp = np.bincount(text, own.log_probability(codes, at), batch.num_rows).astype(float)
             n = np.bincount(text, minlength=batch.num_rows)

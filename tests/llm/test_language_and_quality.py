@@ -50,7 +50,7 @@ def test_probabilities_of_every_context_sum_to_one(spark):
     docs = spark.createDataFrame([(i, "abab abba baab" + "b" * i) for i in range(6)], "doc_id long, text string")
     entries = quality.model(docs)
     import numpy as np
-    hashed = entries.mapInArrow(quality._hashed, "kind int, level int, h long, before long, value double").toArrow()
+    hashed = entries.mapInArrow(quality._hashed, quality.HASHED).toArrow()
     shard = quality.Shard(hashed)
     letters = sorted({c for r in entries.where("kind = 0 and level = 1").collect() for c in r.gram})
     for context in ["\x00\x00\x00\x00", "abab", "zzzz", "b ab"]:
