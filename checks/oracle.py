@@ -6,12 +6,12 @@ Replies are built around table values, so the SQL states the expected fields and
 from __future__ import annotations
 
 from checks.queries import PASSAGE_TEMPLATE, SEED
+from pairsmith.plans.datasets import BRAINSTORMED, RUN_ORDER, WITH_HARD_NEGATIVES
 from pairsmith.operators.sampling import Weights
 from pairsmith.operators.triples import INSTRUCTIONS, REPLY_KEYS
 from pairsmith.plans import presets
 
-DOCS = r"""docs AS (SELECT doc_id AS id, regexp_replace(text, '[\x00-\x1f"\\{}\[\]`]', ' ', 'g') AS text, lang, source
-FROM documents)"""
+DOCS = "docs AS (SELECT doc_id AS id, text, lang, source FROM documents)"
 
 
 def text(value: str) -> str:
@@ -150,6 +150,38 @@ def scored(key: str) -> dict[str, str]:
     }
 
 
+def dataset(data_type: str) -> str:
+    """All steps of a data type over the names of parts and the texts of documents."""
+    tasks = ""
+    if data_type in BRAINSTORMED:
+        tasks = f"""
+part_names AS (SELECT row_number() OVER (ORDER BY p_name) - 1 AS idx, p_name FROM (SELECT DISTINCT p_name FROM part)),
+talks AS (SELECT p_name FROM (SELECT {place(u('name', 'range'), '(SELECT count(*) FROM part_names)')} AS idx
+  FROM range((SELECT count(*) FROM part))) JOIN part_names USING (idx)),
+idea_list AS (SELECT row_number() OVER (ORDER BY idea) - 1 AS idx, idea FROM (
+  SELECT 'Search for ' || p_name AS idea FROM talks UNION SELECT 'List ' || p_name FROM talks)),
+tasks AS (SELECT id, idea AS task FROM (SELECT id, {place(u('task', 'id'), '(SELECT count(*) FROM idea_list)')} AS idx FROM runs)
+  JOIN idea_list USING (idx)),"""
+    if data_type == "bitext":
+        languages, head = pair_ctes("runs", "id"), "'from ' || src_lang || ' to ' || tgt_lang"
+    else:
+        languages = f"{LANGUAGE_TABLE}, pairs AS (SELECT id, {weighted_language('language', 'id')} AS language FROM runs)"
+        head = "'in ' || language"
+    instruction = "task" if tasks else text(INSTRUCTIONS[data_type])
+    sql = f"""WITH runs AS (SELECT range AS id FROM range((SELECT count(*) FROM documents))), {tasks} {languages},
+passages AS (SELECT row_number() OVER (ORDER BY text) - 1 AS idx, text FROM (SELECT DISTINCT text FROM documents)),
+rows AS (SELECT id, '{data_type}' AS data_type, {instruction} AS instruction,
+    {head} || ': ' || array_to_string(string_split(passages.text, ' ')[1:3], ' ') AS query, passages.text AS positive
+  FROM (SELECT *, {place(u('passage', 'id'), '(SELECT count(*) FROM passages)')} AS idx FROM pairs {'JOIN tasks USING (id)' if tasks else ''})
+  JOIN passages USING (idx))"""
+    if data_type not in WITH_HARD_NEGATIVES:
+        return sql + " SELECT id, data_type, instruction, query, positive, md5(positive) AS negative FROM rows"
+    return sql + f""",
+{word_vectors('qv', 'rows', 'id', "'Instruct: ' || instruction || chr(10) || 'Query: ' || query")}, {word_vectors('pv', 'rows', 'id', 'positive')},
+{ranked('qv', 'pv', 10)}, {mining(10)}
+SELECT id, data_type, instruction, query, positive, negative FROM rows JOIN picked USING (id)"""
+
+
 def oracle_sql() -> dict[str, str]:
     sql: dict[str, str] = {}
 
@@ -183,24 +215,32 @@ UNION ALL SELECT conv_id, turn, 1, 'user', text FROM conversations"""
     sql["restore_order"] = "SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS place FROM documents"
 
     # Replies
-    sql["collect_json"] = f"""WITH {DOCS} SELECT id,
-  CASE shape WHEN 0 THEN 'braces' WHEN 1 THEN 'json_fence' WHEN 2 THEN 'fence' WHEN 3 THEN 'python_fence' WHEN 4 THEN 'repaired_braces'
-    WHEN 5 THEN 'quoted_pairs' WHEN 6 THEN 'none' WHEN 7 THEN 'fence' WHEN 8 THEN 'fence' ELSE 'braces' END AS parse_branch,
-  CASE WHEN shape <= 4 THEN text WHEN shape = 5 THEN '{{x}} ' || text WHEN shape = 9 THEN '5' END AS input,
-  CASE WHEN shape <= 5 THEN source WHEN shape = 9 THEN text END AS document, shape = 7 AS is_json_null
-FROM (SELECT *, id % 10 AS shape FROM docs)"""
+    # A plain text is read as key/value pairs where it holds an even number of quoted strings, none of them a key here.
+    shaped = """shaped AS (SELECT *, id % 12 AS shape, substr(to_json(text)::VARCHAR, 2, length(to_json(text)::VARCHAR) - 2) AS escaped,
+  len(regexp_extract_all(text, '"([^"]*)"', 1)) AS quotes FROM docs)"""
+    pairs = "quotes > 0 AND quotes % 2 = 0"
+    sql["collect_json"] = f"""WITH {DOCS}, {shaped} SELECT id,
+  CASE shape WHEN 1 THEN 'json_fence' WHEN 2 THEN 'fence' WHEN 3 THEN 'python_fence' WHEN 4 THEN 'repaired_braces'
+    WHEN 5 THEN 'quoted_pairs' WHEN 6 THEN 'quoted_pairs' WHEN 8 THEN 'fence' WHEN 10 THEN 'json_fence' ELSE 'braces' END AS parse_branch,
+  CASE WHEN shape <= 4 OR shape = 10 THEN text WHEN shape = 5 THEN '{{x}} ' || escaped WHEN shape = 9 THEN '5' END AS input,
+  CASE WHEN shape <= 5 THEN source WHEN shape = 9 THEN text WHEN shape = 10 THEN '{{"a":["' || source || '"]}}' END AS document
+FROM shaped WHERE shape NOT IN (7, 11) AND (shape <> 6 OR {pairs})"""
     sql["collect_list_json"] = f"""WITH {DOCS} SELECT id,
   CASE shape WHEN 1 THEN 'repaired_brackets' WHEN 2 THEN 'fence' WHEN 4 THEN 'none' ELSE 'brackets' END AS parse_branch,
   CASE WHEN shape < 3 THEN text WHEN shape = 3 THEN text || ' ' || source END AS first,
-  CASE WHEN shape < 3 THEN source END AS second FROM (SELECT *, id % 5 AS shape FROM docs)"""
+  CASE WHEN shape < 3 THEN source END AS second FROM (SELECT *, id % 6 AS shape FROM docs) WHERE shape < 5"""
     sql["collect_ideas"] = f"WITH {IDEA_ROWS} SELECT id, parse_branch, idea FROM idea_rows"
     sql["distinct_ideas"] = f"WITH {IDEA_ROWS} SELECT DISTINCT idea FROM idea_rows"
     for name in REPLY_KEYS:
         sql[f"triples_{name}"] = f"WITH {DOCS} {triple_select(name, name)}"
     sql["triples_mixed"] = f"WITH {DOCS} " + " UNION ALL ".join(triple_select(n, n + "_v2") for n in REPLY_KEYS)
-    sql["reply_rejects"] = f"""WITH {DOCS} SELECT id, CASE id % 10 WHEN 6 THEN 'none' WHEN 9 THEN 'braces' ELSE 'fence' END AS parse_branch,
-  CASE id % 10 WHEN 6 THEN 'no_json' WHEN 7 THEN 'json_null' WHEN 8 THEN 'not_object' ELSE 'bad_field' END AS reason
-FROM docs WHERE id % 10 >= 6"""
+    sql["triples_foreign"] = f"""WITH {DOCS} SELECT id, 'short_short' AS data_type, 'about ' || source AS instruction, text AS query,
+  source AS positive, '' AS negative FROM docs WHERE id % 7 <> 0"""
+    sql["reply_rejects"] = f"""WITH {DOCS}, {shaped} SELECT id,
+  CASE WHEN shape = 6 AND {pairs} THEN 'quoted_pairs' WHEN shape = 6 THEN 'none' WHEN shape = 9 THEN 'braces'
+    WHEN shape = 10 THEN 'json_fence' ELSE 'fence' END AS parse_branch,
+  CASE WHEN shape = 6 AND NOT ({pairs}) THEN 'no_json' WHEN shape = 7 THEN 'json_null' WHEN shape = 8 THEN 'not_object' ELSE 'bad_field' END AS reason
+FROM shaped WHERE shape BETWEEN 6 AND 10"""
     sql["derive_instruction"] = """SELECT doc_id AS id,
   CASE WHEN doc_id % 5 = 0 THEN lang WHEN doc_id % 3 = 0 THEN lang ELSE source END AS instruction FROM documents"""
 
@@ -219,7 +259,7 @@ SELECT id, bucket, round(v, 6) AS v FROM (SELECT id, unnest(range(64))::INT AS b
 
     # Neighbours
     sql["topk_neighbours"] = f"WITH {EMBEDDED}, {ranked('vectors', 'vectors', 10)} SELECT q, d, sim, rank::INT AS rank FROM ranked"
-    turns = r"""turns AS (SELECT conv_id * 1000 + turn AS id, regexp_replace(text, '[\x00-\x1f"\\{}\[\]`]', ' ', 'g') AS text FROM conversations)"""
+    turns = "turns AS (SELECT conv_id * 1000 + turn AS id, text FROM conversations)"
     sql["pairwise_similarity"] = f"""WITH {DOCS}, {turns}, {word_vectors('tv', 'turns', 'id', 'text')}, {word_vectors('dv', 'docs', 'id', 'text')},
 {ranked('tv', 'dv', 3)} SELECT q, d, sim, rank::INT AS rank FROM ranked"""
     sql["hard_negatives"] = f"""WITH {DOCS}, {EMBEDDED},
@@ -260,4 +300,8 @@ rows AS (SELECT drawn.id, 'short_long' AS data_type, task AS instruction,
 {word_vectors('qv', 'rows', 'id', "'Instruct: ' || instruction || chr(10) || 'Query: ' || query")}, {word_vectors('pv', 'rows', 'id', 'positive')},
 {ranked('qv', 'pv', 10)}, {mining(10)}
 SELECT id, data_type, instruction, query, positive, negative, negative_branch FROM rows JOIN picked USING (id)"""
+    for name in RUN_ORDER:
+        sql[f"pipeline_{name}"] = dataset(name)
+    sql["pipeline_all"] = " UNION ALL ".join(
+        f"SELECT * REPLACE (id * {len(RUN_ORDER)} + {i} AS id) FROM ({dataset(name)})" for i, name in enumerate(RUN_ORDER))
     return sql

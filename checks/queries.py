@@ -9,7 +9,7 @@ import checks.stand_ins  # noqa: F401
 from pairsmith.functions import vectors
 from pairsmith.functions.template import render_row
 from pairsmith.operators import neighbours
-from pairsmith.operators.collect import collect_ideas, distinct_ideas, read_json, read_list
+from pairsmith.operators.collect import collect_ideas, collect_json, distinct_ideas, read_list
 from pairsmith.operators.model_map import (EmbeddingConfig, GenerationConfig, chat_messages, embed, generate,
                                            merge_params)
 from pairsmith.operators.negatives import HardNegativeConfig, hard_negatives, pick_negatives
@@ -17,14 +17,13 @@ from pairsmith.operators.ordering import dense_index
 from pairsmith.operators.sampling import constraint_filter, draw_indices, draw_values
 from pairsmith.operators.schema import PromptSchema
 from pairsmith.operators.triples import REPLY_KEYS, derive_instruction, judge, rejected, triples
-from pairsmith.plans import presets
+from pairsmith.plans import datasets, presets
 from pairsmith.session import materialise, shared_folder, spread
 from pairsmith.sources.files import read_csv, read_jsonl, run_step, write_json_array
 from pairsmith.sources.value_list import from_table, read_value_list
 
 SEED = 42
 FENCE = "`" * 3
-UNSAFE = r'[\x00-\x1f"\\{}\[\]`]'  # what would end a quoted string, a list or a fence early
 WORDS = EmbeddingConfig("hashed_words")
 
 
@@ -33,8 +32,10 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
-def clean(text: Column | str) -> Column:
-    return F.regexp_replace(text, UNSAFE, " ")
+def quoted(text: Column) -> Column:
+    """A text as a JSON string."""
+    array = F.to_json(F.array(text))
+    return F.substring(array, F.lit(2), F.length(array) - 2)
 
 
 def new_path(spark: SparkSession, label: str) -> str:
@@ -44,8 +45,7 @@ def new_path(spark: SparkSession, label: str) -> str:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``id`` and text without the characters that replies use as marks."""
-    return spread(table(spark, sf_dir, "documents", F.col("doc_id").alias("id"), clean("text").alias("text"), "lang", "source"))
+    return spread(table(spark, sf_dir, "documents", F.col("doc_id").alias("id"), "text", "lang", "source"))
 
 
 def ids(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
@@ -134,42 +134,45 @@ def restore_order(spark, sf_dir):
 # --- replies ---------------------------------------------------------------------------------
 
 def json_replies(docs: DataFrame) -> DataFrame:
-    """A reply of one of ten shapes around each document; a shape per way to read or to fail."""
-    body = F.concat(F.lit('{"input":"'), F.col("text"), F.lit('","positive_document":"'), F.col("source"), F.lit('"'))
+    """A reply of one of twelve shapes around each document; a shape per way to read or to fail."""
+    text, source = quoted(F.col("text")), quoted(F.col("source"))
+    body = F.concat(F.lit('{"input":'), text, F.lit(',"positive_document":'), source)
     whole = F.concat(body, F.lit("}"))
-    shape = F.col("id") % 10
+    nested = F.concat(F.lit('{"input":'), text, F.lit(',"positive_document":{"a":['), source, F.lit("]}}"))
+    shape = F.col("id") % 12
     reply = (
         F.when(shape == 0, whole)
         .when(shape == 1, F.concat(F.lit(f"Here:\n{FENCE}json\n"), whole, F.lit(f"\n{FENCE}\nDone")))
         .when(shape == 2, F.concat(F.lit(f"{FENCE}\n"), whole, F.lit(f"\n{FENCE}")))
         .when(shape == 3, F.concat(F.lit(f"{FENCE}python\n"), whole, F.lit(f"\n{FENCE}")))
         .when(shape == 4, F.concat(body, F.lit(",\n}")))
-        .when(shape == 5, F.concat(F.lit('{"input":"{x} '), F.col("text"), F.lit('","positive_document":"'), F.col("source"), F.lit('"}')))
+        .when(shape == 5, F.concat(F.lit('{"input":'), quoted(F.concat(F.lit("{x} "), "text")), F.lit(',"positive_document":'), source, F.lit("}")))
         .when(shape == 6, F.col("text"))
         .when(shape == 7, F.concat(F.lit(f"{FENCE}null{FENCE} "), whole))
-        .when(shape == 8, F.concat(F.lit(f'{FENCE}["'), F.col("text"), F.lit(f'"]{FENCE}')))
-        .otherwise(F.concat(F.lit('{"input":5,"positive_document":"'), F.col("text"), F.lit('"}')))
-    )
+        .when(shape == 8, F.concat(F.lit(f"{FENCE}["), text, F.lit(f"]{FENCE}")))
+        .when(shape == 9, F.concat(F.lit('{"input":5,"positive_document":'), text, F.lit("}")))
+        .when(shape == 10, F.concat(F.lit(f"{FENCE}json\n"), nested, F.lit(f"\n{FENCE}")))
+    )  # and no reply at all
     return docs.withColumn("output", reply)
 
 
-def collect_json(spark, sf_dir):
-    found = read_json(json_replies(documents(spark, sf_dir)))
+def json_rows(spark, sf_dir):
+    found = collect_json(json_replies(documents(spark, sf_dir)))
     get = lambda key: F.try_variant_get("parsed", f"$.{key}", "string")
-    return found.select("id", "parse_branch", get("input").alias("input"), get("positive_document").alias("document"),
-                        F.coalesce(F.is_variant_null("parsed"), F.lit(False)).alias("is_json_null"))
+    return found.select("id", "parse_branch", get("input").alias("input"), get("positive_document").alias("document"))
 
 
 def collect_list_json(spark, sf_dir):
-    shape = F.col("id") % 5
-    items = F.concat(F.lit('["'), F.col("text"), F.lit('","'), F.col("source"), F.lit('"'))
+    shape = F.col("id") % 6
+    items = F.concat(F.lit("["), quoted(F.col("text")), F.lit(","), quoted(F.col("source")))
+    tab = F.concat(F.substring_index(items, '","', 1), F.lit("\t"), F.col("source"), F.lit('"]'))
     reply = (
         F.when(shape == 0, F.concat(F.lit("List: "), items, F.lit("] end")))
         .when(shape == 1, F.concat(items, F.lit(" , ]")))
         .when(shape == 2, F.concat(F.lit(FENCE), items, F.lit(f"]{FENCE}")))
-        .when(shape == 3, F.concat(F.lit('["'), F.col("text"), F.lit("\t"), F.col("source"), F.lit('"]')))
-        .otherwise(F.col("text"))
-    )
+        .when(shape == 3, tab)
+        .when(shape == 4, F.col("text"))
+    )  # and no reply at all
     found = read_list(documents(spark, sf_dir).withColumn("output", reply))
     get = lambda i: F.try_variant_get("parsed", f"$[{i}]", "string")
     return found.select("id", "parse_branch", get(0).alias("first"), get(1).alias("second"))
@@ -204,7 +207,7 @@ def idea_set(spark, sf_dir):
 def _triple_reply(data_type: str) -> Column:
     keys = [k for k in REPLY_KEYS[data_type] if k]
     values = [F.col("text"), F.col("source"), F.col("lang")]
-    fields = [F.concat(F.lit(f'"{k}":"'), v, F.lit('"')) for k, v in zip(keys, values)]
+    fields = [F.concat(F.lit(f'"{k}":'), quoted(v)) for k, v in zip(keys, values)]
     inner = F.when(F.col("id") % 7 == 0, F.concat_ws(",", *fields[:-1])).otherwise(F.concat_ws(", ", *fields))
     return F.concat(F.lit("{"), inner, F.lit("}"))
 
@@ -233,6 +236,12 @@ def triples_mixed(spark, sf_dir):
     return triples(triple_replies(docs, output, F.concat("kind", F.lit("_v2"))))
 
 
+def triples_foreign(spark, sf_dir):
+    """Replies of another program: the prompt stands in ``input``, and no drawn values are known."""
+    replies = triple_replies(documents(spark, sf_dir), _triple_reply("short_short"), F.lit("short_short"))
+    return triples(replies.select("id", F.col("formatted_prompt").alias("input"), "output"), "short_short")
+
+
 def reply_rejects(spark, sf_dir):
     judged = judge(json_replies(documents(spark, sf_dir)), "short_short")
     return rejected(judged).select("id", "parse_branch", "reason")
@@ -299,7 +308,7 @@ def topk_neighbours(spark, sf_dir):
 def pairwise_similarity(spark, sf_dir):
     """The three documents most similar to every conversation turn."""
     turns = table(spark, sf_dir, "conversations",
-                  (F.col("conv_id") * 1000 + F.col("turn")).alias("id"), clean("text").alias("text"))
+                  (F.col("conv_id") * 1000 + F.col("turn")).alias("id"), "text")
     queries = materialise(embed(turns, WORDS, {"text": "vector"}, keep=["id"]), "turn-vectors")
     docs = documents(spark, sf_dir).select("id", "text")
     corpus = materialise(embed(docs, WORDS, {"text": "vector"}, keep=["id"]), "document-vectors")
@@ -409,6 +418,43 @@ def short_long_pairs(spark, sf_dir):
     return hard_negatives(rows, mining)
 
 
+def dataset_config(spark, sf_dir, data_type: str, folder: str) -> datasets.DatasetConfig:
+    """Tasks about the names of parts, and passages from the documents, one prompt per part and per document."""
+    parts, docs = table(spark, sf_dir, "part"), documents(spark, sf_dir)
+    args = {"passage": from_table(docs, "text")}
+    constraints = None
+    if data_type == "bitext":
+        args |= {"src_lang": list(presets.LANGUAGES), "tgt_lang": list(presets.LANGUAGES)}
+        constraints = [{"type": "neq", "value1": "src_lang", "value2": "tgt_lang"}]
+    else:
+        args["language"] = list(presets.LANGUAGES)
+    weights = {name: presets.LANGUAGE_WEIGHTS for name in args if name != "passage"}
+    if data_type in datasets.BRAINSTORMED:
+        args["task"] = ["the ideas of the brainstorm"]
+    return datasets.DatasetConfig(
+        folder, GenerationConfig("passage_fields", {"keys": [k for k in REPLY_KEYS[data_type] if k]}), WORDS,
+        GenerationConfig("task_list"), parts.count(), docs.count(), SEED,
+        schema=PromptSchema(DATASET_TEMPLATES.get(data_type, PASSAGE_TEMPLATE), args, weights, constraints),
+        brainstorm=PromptSchema("Tasks about {name}", {"name": from_table(parts, "p_name")}))
+
+
+DATASET_TEMPLATES = {
+    "sts": "in {language}\nPassage: {passage}",
+    "bitext": "from {src_lang} to {tgt_lang}\nPassage: {passage}",
+}
+
+
+def dataset_of(data_type: str):
+    """All steps of a data type, from brainstorm to final table."""
+    return lambda spark, sf_dir: datasets.build(
+        spark, data_type, dataset_config(spark, sf_dir, data_type, new_path(spark, "dataset")))
+
+
+def dataset_all(spark, sf_dir):
+    folder = new_path(spark, "dataset")
+    return datasets.build_all(spark, {name: dataset_config(spark, sf_dir, name, folder) for name in datasets.RUN_ORDER})
+
+
 def queries() -> dict:
     return {
         "sample_uniform": sample_uniform,
@@ -423,12 +469,13 @@ def queries() -> dict:
         "merge_params": merged_params,
         "chat_messages": chat_prompts,
         "restore_order": restore_order,
-        "collect_json": collect_json,
+        "collect_json": json_rows,
         "collect_list_json": collect_list_json,
         "collect_ideas": idea_rows,
         "distinct_ideas": idea_set,
         **{f"triples_{name}": triples_of(name) for name in REPLY_KEYS},
         "triples_mixed": triples_mixed,
+        "triples_foreign": triples_foreign,
         "reply_rejects": reply_rejects,
         "derive_instruction": instructions,
         "pool_mean": pool_mean,
@@ -449,4 +496,6 @@ def queries() -> dict:
         "sts_pairs": sts_pairs,
         "long_short_pairs": long_short_pairs,
         "short_long_pairs": short_long_pairs,
+        **{f"pipeline_{name}": dataset_of(name) for name in datasets.RUN_ORDER},
+        "pipeline_all": dataset_all,
     }

@@ -52,6 +52,29 @@ def passage_json(options: dict):
     return lambda prompts, params: [reply(_user_text(p)) for p in prompts]
 
 
+def passage_fields(options: dict):
+    """Fields made of the line before the prompt's passage with three words of it, the passage, and its digest."""
+    keys = options["keys"]
+
+    def reply(prompt: str) -> str:
+        head, passage = prompt.split("\nPassage: ", 1)
+        query = head.split("\n")[-1] + ": " + " ".join(passage.split(" ")[:3])
+        values = (query, passage, hashlib.md5(passage.encode()).hexdigest())
+        return json.dumps(dict(zip(keys, values)), ensure_ascii=False)
+
+    return lambda prompts, params: [reply(_user_text(p)) for p in prompts]
+
+
+def task_list(options: dict):
+    """A Python list of two tasks about what the prompt names."""
+
+    def reply(prompt: str) -> str:
+        name = prompt.split("about ", 1)[1]
+        return str([f"Search for {name}", f"List {name}"])
+
+    return lambda prompts, params: [reply(_user_text(p)) for p in prompts]
+
+
 def hashed_words(options: dict):
     """Counts of words in ``DIM`` digest buckets."""
     bucket_of: dict[str, int] = {}
@@ -73,4 +96,6 @@ register_generator("echo_chat", echo_chat)
 register_generator("echo_base", echo_base, chat=False)
 register_generator("sentence_json", sentence_json)
 register_generator("passage_json", passage_json)
+register_generator("passage_fields", passage_fields)
+register_generator("task_list", task_list)
 register_embedder("hashed_words", hashed_words)

@@ -6,6 +6,7 @@ from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pairsmith.operators.collect import distinct_ideas
 from pairsmith.operators.model_map import EmbeddingConfig, GenerationConfig, generate
@@ -23,7 +24,7 @@ RUN_ORDER = ("short_short", "short_long", "long_short", "long_long", "sts", "bit
 
 @dataclass
 class DatasetConfig:
-    """``brainstorm`` and ``schema`` replace the presets; ``schema`` is a template without its task list."""
+    """``brainstorm`` and ``schema`` replace the presets; the collected ideas replace the values of its ``task``."""
 
     folder: str
     generation: GenerationConfig
@@ -88,8 +89,12 @@ def _build(spark: SparkSession, data_type: str, config: DatasetConfig) -> DataFr
 
 
 def build_all(spark: SparkSession, configs: dict[str, DatasetConfig]) -> DataFrame:
-    """All data types in order, stopping at the first error, as one table with ``data_type``."""
+    """All data types in order, stopping at the first error, as one table with ``data_type``.
+
+    Row n of the k-th type has the id ``n * number of types + k``, so ids stay unique over the types.
+    """
     for name in set(configs) - set(REPLY_KEYS):
         raise ValueError(f"unknown data type {name!r}")
-    parts = [build(spark, name, configs[name]) for name in RUN_ORDER if name in configs]
+    parts = [build(spark, name, configs[name]).withColumn("id", F.col("id") * len(RUN_ORDER) + place)
+             for place, name in enumerate(RUN_ORDER) if name in configs]
     return reduce(DataFrame.unionByName, parts)
