@@ -263,7 +263,7 @@ SELECT id, bucket, round(v, 6) AS v FROM (SELECT id, unnest(range(64))::INT AS b
     sql["pairwise_similarity"] = f"""WITH {DOCS}, {turns}, {word_vectors('tv', 'turns', 'id', 'text')}, {word_vectors('dv', 'docs', 'id', 'text')},
 {ranked('tv', 'dv', 3)} SELECT q, d, sim, rank::INT AS rank FROM ranked"""
     sql["hard_negatives"] = f"""WITH {DOCS}, {EMBEDDED},
-rows AS (SELECT docs.id, 'about ' || source AS query, text AS positive FROM docs JOIN vectors USING (id)),
+rows AS (SELECT docs.id, 'about ' || source AS query, text AS positive FROM docs),
 kept AS (SELECT vectors.* FROM vectors JOIN rows USING (id)), {ranked('kept', 'kept', 10)}, {mining(10)}
 SELECT id, query, negative, negative_branch FROM rows JOIN picked USING (id)"""
     sql["hard_negatives_fallback"] = f"""WITH {EMBEDDED},

@@ -317,11 +317,12 @@ def pairwise_similarity(spark, sf_dir):
 
 
 def mined_negatives(spark, sf_dir):
-    """Embeddings as the vectors of the documents with the same number; some documents are copies."""
+    """Embeddings as the vectors of the documents with the same number; some documents are copies, and
+    those without a vector get the next differing text."""
     docs = documents(spark, sf_dir)
     both = table(spark, sf_dir, "embeddings", F.col("vec_id").alias("id"), F.col("embedding").alias("query_vector"),
                  F.col("embedding").alias("positive_vector"))
-    rows = docs.join(both.select("id"), "id", "left_semi").select(
+    rows = docs.select(
         "id", F.concat(F.lit("about "), "source").alias("query"), F.col("text").alias("positive"), F.lit("old").alias("negative"))
     return pick_negatives(rows, both, HardNegativeConfig(top_k=10, seed=SEED)).select("id", "query", "negative", "negative_branch")
 
