@@ -17,13 +17,14 @@ One in five trusted documents doesn't train. The ``QUANTILE`` of their perplexit
 of its own), is the threshold that documents of the language have to keep to.
 
 Null text or one without characters other than white space has no perplexity and is not kept. A language without
-held-out trusted documents has no threshold, and keeps all. Repeated rows are judged alike. Empty tables give an empty
+held-out trusted documents has no threshold, and keeps all. Repeated rows are judged alike, and each
+comes back, by one shard as by many. Empty tables give an empty
 one; without trusted text every character has the same probability. Other columns are ignored.
 """
 
 from __future__ import annotations
 
-import zlib
+import hashlib
 from collections.abc import Iterator
 from functools import reduce
 
@@ -187,8 +188,12 @@ def perplexities(docs: DataFrame, entries: DataFrame) -> DataFrame:
     if shards == 1:
         total = parts[0]
     else:
-        # Repeated rows add up to the same quotient; rows of one id with other texts differ in their mark.
-        total = reduce(DataFrame.unionByName, parts).groupBy("doc_id", "lang", "mark").agg(F.sum("n").alias("n"), F.sum("logp").alias("logp"))
+        # Every shard tells each row once, so a group of k equal rows has k x shards parts and comes back as k rows;
+        # rows of one id with other texts differ in their mark.
+        sums = reduce(DataFrame.unionByName, parts).groupBy("doc_id", "lang", "mark").agg(
+            F.sum("n").alias("n"), F.sum("logp").alias("logp"), F.expr(f"count(*) div {shards}").alias("rows"))
+        total = sums.select("doc_id", "lang", "mark", F.expr("n div rows").alias("n"), (F.col("logp") / F.col("rows")).alias("logp"),
+                            F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))).alias("row"))
     return total.select("doc_id", "lang", "mark", F.col("n").alias("characters"), F.when(F.col("n") > 0, F.exp(-F.col("logp") / F.col("n"))).alias("perplexity"))
 
 
@@ -230,10 +235,10 @@ def _part(docs: DataFrame, folder: str, shard: int, shards: int, wide: list[int]
                 at, text = at[mine], text[mine]
             logp = np.bincount(text, own.log_probability(codes, at), batch.num_rows).astype(float)
             n = np.bincount(text, minlength=batch.num_rows)
-            mark = [zlib.crc32((t or "").encode("utf-8", "replace")) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lang"), pa.array(mark, pa.int64()), pa.array(n.astype(np.int64)), pa.array(logp)], ["doc_id", "lang", "mark", "n", "logp"])
+            mark = [hashlib.blake2b((t or "").encode("utf-8", "replace"), digest_size=16).digest() for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lang"), pa.array(mark, pa.binary()), pa.array(n.astype(np.int64)), pa.array(logp)], ["doc_id", "lang", "mark", "n", "logp"])
 
-    return docs.select("doc_id", "text", "lang").mapInArrow(run, "doc_id long, lang string, mark long, n long, logp double")
+    return docs.select("doc_id", "text", "lang").mapInArrow(run, "doc_id long, lang string, mark binary, n long, logp double")
 
 
 def trusted_part() -> F.Column:

@@ -82,3 +82,17 @@ def test_quality_of_odd_rows(spark, odd, nothing):
     assert {r.doc_id for r in got.where("perplexity is null").collect()} == {2, 3, 7} and got.where("perplexity is null and keep").count() == 0
     assert quality.judge(nothing, _labels(spark, [])).count() == 0
     assert quality.judge(odd, _labels(spark, [])).where("keep").count() == odd.count() - 3
+
+
+def test_shards_give_every_row_back(spark, odd, monkeypatch):
+    from collections import Counter
+    rows = odd.select("doc_id", "text", "lang")
+    docs = rows.unionByName(rows.where("doc_id is null")).unionByName(rows.where("doc_id = 6"))
+    entries = quality.model(docs)
+
+    def got():
+        return Counter((r.doc_id, r.lang, r.characters, r.perplexity and round(r.perplexity, 6)) for r in quality.perplexities(docs, entries).collect())
+
+    one = got()
+    monkeypatch.setattr(quality, "SHARD_ENTRIES", entries.count() // 3)
+    assert got() == one and sum(one.values()) == docs.count() and max(one.values()) == 4
