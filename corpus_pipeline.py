@@ -13,9 +13,10 @@ from pairsmith.llm.tables import table, written
 
 
 def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents whose language can't be told: null texts and texts without a letter."""
+    """Drop documents whose language can't be told: null texts, texts without a letter, and those of which the filters
+    hold no more for any language than chance gives (score 0)."""
     model = language_id.documents_model(spark, sf_dir)
-    return language_id.tagged(docs, model).where(F.col("lang_pred") != language_id.UND).select("row.*")
+    return language_id.tagged(docs, model).where((F.col("lang_pred") != language_id.UND) & (F.col("score") > 0)).select("row.*")
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -35,3 +35,13 @@ def test_odd_rows(spark, odd, nothing):
     assert all(df.columns == odd.columns for df in out[:-1])
     assert out[-1].select("doc_id").distinct().count() >= 3
     assert stages(spark, nothing)[-1].count() == 0
+
+
+def test_languages_never_learnt_go_and_labelled_clean_documents_stay(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    clean = docs.join(spark.read.parquet(f"{sf}/labels.parquet").where("quality = 1"), "doc_id", "left_semi").select("doc_id", "text")
+    strange = spark.createDataFrame([(-1, "жук ползёт по траве к дому"), (-2, "日本語の文章です"), (-3, "zqxj xqzj qqxz jzqx")], "doc_id long, text string")
+    kept = {r.doc_id for r in corpus_pipeline.keep_known_language(spark, clean.unionByName(strange), sf).select("doc_id").collect()}
+    ids = {r.doc_id for r in clean.collect()}
+    assert len(ids) > 200 and kept == ids
