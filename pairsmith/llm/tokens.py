@@ -2,7 +2,8 @@
 
 A byte-level vocabulary splits a text before every blank that stands between two characters that are no white space.
 What lies between such blanks is encoded alone, its ids are remembered, and a text is the ids of its pieces in a row.
-The memory is bounded: it is emptied when it is full. Other vocabularies encode each text as one.
+The memory is bounded: it is emptied when it is full. Other vocabularies encode each text as one, and so do texts in
+which an added token of the vocabulary (such as its end mark) is spelt out: it gets its own id, as the library gives it.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ def default_path() -> str:
 def encoder(path: str) -> "Encoder":
     """One encoder per worker process and vocabulary."""
     if path not in _encoders:
-        _encoders[path] = Encoder(path)
+        _encoders[path] = Encoder(path, spelt_out=False)
     return _encoders[path]
 
 
@@ -45,18 +46,25 @@ def _byte_names() -> dict[int, str]:
 
 
 class Encoder:
-    """``encode`` gives for each text its ids as little-endian bytes of ``dtype``, without special tokens."""
+    """``encode`` gives for each text its ids as little-endian bytes of ``dtype``; no token is put before or after.
 
-    def __init__(self, path: str):
+    An added token that stands in a text is one id, as the library has it by default; ``spelt_out`` reads it as the
+    characters it is written with instead. The operators don't use ``spelt_out``.
+    """
+
+    def __init__(self, path: str, spelt_out: bool = True):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        if spelt_out:
+            self.tokenizer.encode_special_tokens = True
         about = json.loads(self.tokenizer.to_str())
         before = about.get("pre_tokenizer") or {}
         self.by_pieces = about.get("normalizer") is None and before.get("type") == "ByteLevel" \
             and before.get("use_regex", True) and not before.get("add_prefix_space")
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        added = [t for t in about.get("added_tokens") or [] if t["content"]]
+        self.added = [t["content"] for t in added if not (spelt_out and t["special"])]
         self.names = _byte_names()
         self.pieces: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
@@ -80,6 +88,8 @@ class Encoder:
         return b"".join(out)
 
     def _text(self, text: str) -> bytes:
+        if any(mark in text for mark in self.added):
+            return self._whole([text])[0]
         head, *rest = text.split(" ")
         known = self.pieces
         missing = [p for p in rest if p not in known]

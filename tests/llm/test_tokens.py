@@ -111,3 +111,16 @@ def test_fullest_equals_brute_force():
         sums = {sum(n * k for n, (k, _) in zip(c, left)) for c in itertools.product(*[range(n + 1) for _, n in left])}
         got = packing.fullest(room, left)
         assert sum(k * n for k, n in got) == max(s for s in sums if s <= room) and all(n <= dict(left)[k] for k, n in got)
+
+
+def test_added_tokens_in_a_text_are_what_the_library_makes_of_them(spark):
+    from tokenizers import Tokenizer
+    untouched, end = Tokenizer.from_file(tokens.default_path()), "<|endoftext|>"
+    texts = ["a b", f"a {end} b", end, f"x{end}{end} y  {end}\n", "<|endoftext| >", f"{end} after"]
+    ids = [[*untouched.encode(t, add_special_tokens=False).ids, 0] for t in texts]
+    assert ids[1] == [64, 220, 50256, 275, 0]
+    docs, folder = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), new_path(spark, "records")
+    got = {r.doc_id: r.ids for r in binary_records.read_shuffled(binary_records.write(docs, folder), folder, 7).collect()}
+    assert got == dict(enumerate(ids))
+    pieces = {r.doc_id: (r.length, r.ids_crc32) for r in packing.pieces(docs).collect()}
+    assert pieces == {k: (len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for k, x in enumerate(ids)}
