@@ -1,11 +1,11 @@
-"""Substring dedup by De Bruijn compaction.
+"""Substring dedup by runs of repeated word windows with consecutive sources.
 
-An edge is a window of ``EDGE`` consecutive words, between the nodes of its first and last EDGE - 1 words. Equal
+An edge is a window of ``EDGE`` consecutive words. No De Bruijn graph is built: there are no nodes and no degrees. Equal
 windows are one edge; its source is the occurrence with the least (doc_id, position). An edge that starts in several
 documents is repeated. Walking along a document, repeated edges whose sources also follow one another in one document
-are a path that doesn't branch between them, and compact into one piece: (doc, start, source document, source start,
+compact into one piece, a run: (doc, start, source document, source start,
 number of edges). Every piece is then verified through its source coordinates: words of the document and of the
-source are read again and compared by a 128-bit digest, once for each distinct path. What verified pieces cover is
+source are read again and compared by a 128-bit digest, once for each distinct run. What verified pieces cover is
 removed. Windows are judged on the input, so a word is removed if a window over it also starts in a document with a
 smaller doc_id.
 
@@ -85,7 +85,7 @@ def compact(doc: np.ndarray, pos: np.ndarray, source: np.ndarray, source_pos: np
 
 
 def pieces(docs: DataFrame, edge: int = EDGE) -> DataFrame:
-    """Compacted paths of repeated edges in all documents (doc_id, text) but the edges' first ones."""
+    """Runs of repeated edges in all documents (doc_id, text) but the edges' first ones."""
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = shard_count(size // 6, WINDOWS_PER_SHARD)  # about as many windows as words; decides only how they are dealt
