@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pairsmith.llm import license_scan, line_dedup
 from pairsmith.llm.binary_records import op5_binary_records
+from pairsmith.llm.conversation_repair import op12_conversation_repair
 from pairsmith.llm.decontamination import op9_decontamination
 from pairsmith.llm.fingerprints import op4_fingerprints
 from pairsmith.llm.jaccard_join import op10_ngram_jaccard_join
@@ -16,7 +17,9 @@ from pairsmith.llm.license_scan import op6_license_scan
 from pairsmith.llm.line_dedup import op1_line_dedup
 from pairsmith.llm.packing import op7_best_fit_packing
 from pairsmith.llm.quality import op2_quality_classifier
+from pairsmith.llm.spelling import op11_spelling_variants
 from pairsmith.llm.substring_dedup import op8_substring_dedup
+from pairsmith.llm.toxicity import op13_toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -31,6 +34,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_substring_dedup": op8_substring_dedup,
         "op9_decontamination": op9_decontamination,
         "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+        "op11_spelling_variants": op11_spelling_variants,
+        "op12_conversation_repair": op12_conversation_repair,
+        "op13_toxicity": op13_toxicity,
     }
 
 
