@@ -5,9 +5,8 @@ Replies are built around table values, so the SQL states the expected fields and
 
 from __future__ import annotations
 
-from checks.queries import PASSAGE_TEMPLATE, SEED
+from checks.queries import PASSAGE_TEMPLATE, SEED, TIED_WEIGHTS
 from pairsmith.plans.datasets import BRAINSTORMED, RUN_ORDER, WITH_HARD_NEGATIVES
-from pairsmith.operators.sampling import Weights
 from pairsmith.operators.triples import INSTRUCTIONS, REPLY_KEYS
 from pairsmith.plans import presets
 
@@ -43,8 +42,15 @@ def uniform_value(tag: str, key: str, values) -> str:
     return f"({strings(values)})[{place(u(tag, key), len(values))} + 1]"
 
 
-LANGUAGE = Weights.of(presets.LANGUAGE_WEIGHTS)
-LANGUAGE_TABLE = f"lists AS (SELECT {numbers(LANGUAGE.cdf)} AS cdf, {numbers(LANGUAGE.p)} AS p, {strings(presets.LANGUAGES)} AS names)"
+def reach(weights: str) -> str:
+    """Running sums of a list, up to 1."""
+    return f"list_transform(range(1, len({weights}) + 1), lambda i: list_sum(({weights})[1:i]) / list_sum({weights}))"
+
+
+LANGUAGE_TABLE = f"""weights AS (SELECT {numbers(presets.LANGUAGE_WEIGHTS)} AS w),
+shares AS (SELECT list_transform(w, lambda x: x / list_sum(w)) AS p FROM weights),
+lists AS (SELECT {reach('p')} AS cdf, p, {strings(presets.LANGUAGES)} AS names,
+  {reach('list_transform(p, lambda x: x * (1 - x))')} AS first_cdf FROM shares)"""
 
 
 def template(words: str, columns: dict[str, str]) -> str:
@@ -62,11 +68,9 @@ def template(words: str, columns: dict[str, str]) -> str:
 
 def pair_ctes(source: str, key: str) -> str:
     """``pairs(id, src_lang, tgt_lang)``: two unequal languages for every id."""
-    p, q = LANGUAGE.p, LANGUAGE.p
-    first = Weights.of(p * (1 - q) / (p * (1 - q)).sum())
     return f"""
 {LANGUAGE_TABLE},
-first_draw AS (SELECT {key} AS id, {search(numbers(first.cdf), u('src_lang', key))} AS s, {u('tgt_lang', key)} AS u2 FROM {source}),
+first_draw AS (SELECT {key} AS id, {search('first_cdf', u('src_lang', key))} AS s, {u('tgt_lang', key)} AS u2 FROM {source}, lists),
 line AS (SELECT id, s, p[s + 1] AS qs, cdf[s + 1] AS fin, u2 * (1 - p[s + 1]) AS x, cdf, names FROM first_draw, lists),
 shifted AS (SELECT id, s, cdf, names,
   CASE WHEN x >= fin - qs THEN least(greatest(x + qs, fin), 1 - pow(2, -53)) ELSE x END AS v FROM line),
@@ -201,6 +205,33 @@ SELECT * FROM (SELECT {key} AS id, {search('cdf', u('a', key))} AS a, {place(u('
   SELECT DISTINCT concat_ws(' ', p_name, p_brand, p_type) AS task FROM part))
 SELECT o.{key} AS id, task, 'Do: ' || task AS formatted_prompt
 FROM (SELECT *, {place(u('task', key), '(SELECT count(*) FROM tasks)')} AS idx FROM orders) o JOIN tasks USING (idx)"""
+    # The joint weights of all choices, and from them the conditional ones, argument by argument.
+    weight = f"(SELECT {numbers(TIED_WEIGHTS)} AS p)"
+    sql["sample_tied"] = f"""WITH every AS (SELECT a, b, c, p[a + 1] * p[b + 1] * p[c + 1] AS w
+  FROM {weight}, range(5) r(a), range(5) s(b), range(5) t(c) WHERE a <> b AND b <> c AND a <> c),
+one AS (SELECT a, sum(w) OVER (ORDER BY a) AS reach, sum(w) OVER () AS whole FROM (SELECT a, sum(w) AS w FROM every GROUP BY a)),
+two AS (SELECT a, b, sum(w) OVER (PARTITION BY a ORDER BY b) AS reach, sum(w) OVER (PARTITION BY a) AS whole
+  FROM (SELECT a, b, sum(w) AS w FROM every GROUP BY a, b)),
+three AS (SELECT a, b, c, sum(w) OVER (PARTITION BY a, b ORDER BY c) AS reach, sum(w) OVER (PARTITION BY a, b) AS whole FROM every),
+drawn AS (SELECT {key} AS id, {u('first', key)} AS u1, {u('second', key)} AS u2, {u('third', key)} AS u3 FROM orders),
+d1 AS (SELECT id, u2, u3, min(a) AS a FROM drawn, one WHERE reach > u1 * whole GROUP BY id, u2, u3),
+d2 AS (SELECT id, u3, a, min(b) AS b FROM d1 JOIN two USING (a) WHERE reach > u2 * whole GROUP BY id, u3, a),
+d3 AS (SELECT id, a, b, min(c) AS c FROM d2 JOIN three USING (a, b) WHERE reach > u3 * whole GROUP BY id, a, b)
+SELECT id, substr('vwxyz', (a + 1)::INT, 1) || substr('vwxyz', (b + 1)::INT, 1) || substr('vwxyz', (c + 1)::INT, 1) AS formatted_prompt FROM d3"""
+    sql["sample_table_weights"] = f"""WITH names AS (SELECT row_number() OVER (ORDER BY p_name) - 1 AS idx, p_name, sum(p_size)::HUGEINT AS w FROM part GROUP BY p_name),
+size AS (SELECT count(*) AS n, sum(w)::HUGEINT AS whole FROM names),
+places AS (SELECT idx, p_name, w * n AS own, whole, greatest(whole - w * n, 0) AS lacks, greatest(w * n - whole, 0) AS has FROM names, size),
+line AS (SELECT *, sum(lacks) OVER (ORDER BY idx) - lacks AS lacks_before, sum(has) OVER (ORDER BY idx) - has AS has_before FROM places),
+light AS (SELECT * FROM line WHERE lacks > 0), heavy AS (SELECT * FROM line WHERE has > 0),
+slots AS (
+  SELECT l.idx, l.p_name, l.own::DOUBLE / l.whole::DOUBLE AS keeps, h.p_name AS other
+  FROM light l ASOF JOIN heavy h ON l.lacks_before >= h.has_before
+  UNION ALL
+  SELECT h.idx, h.p_name, 1 - greatest(coalesce(l.lacks_before + l.lacks, 0) - (h.has_before + h.has), 0)::DOUBLE / h.whole::DOUBLE, next.p_name
+  FROM heavy h ASOF LEFT JOIN light l ON h.has_before + h.has > l.lacks_before LEFT JOIN heavy next ON next.has_before = h.has_before + h.has
+  UNION ALL SELECT idx, p_name, 1, p_name FROM line WHERE lacks = 0 AND has = 0),
+drawn AS (SELECT {key} AS id, floor({u('name', key)} * n)::BIGINT AS idx, {u('name', key).replace(", 1, 14)", ", 17, 14)")} AS place FROM orders, size)
+SELECT id, 'about ' || CASE WHEN place < keeps THEN p_name ELSE other END AS formatted_prompt FROM drawn JOIN slots USING (idx)"""
     sql["brainstorm_prompts"] = f"SELECT p_partkey AS id, {template(presets.BRAINSTORMS['short_long'], {})} AS formatted_prompt FROM part"
     sql["render_prompt"] = """SELECT p_partkey, '{' || p_name || '} by ' || p_brand || chr(10) || 'size ' || p_size AS prompt FROM part"""
 

@@ -86,6 +86,23 @@ def sample_task_join(spark, sf_dir):
     return drawn.select("id", F.col("sample.task").alias("task"), "formatted_prompt")
 
 
+TIED_WEIGHTS = [1 - 4e-4, 1e-4, 1e-4, 1e-4, 1e-4]
+
+
+def sample_tied(spark, sf_dir):
+    """Three arguments that all differ; drawn independently, three in ten million rows would do so."""
+    names = ("first", "second", "third")
+    tied = [{"type": "neq", "value1": a, "value2": b} for a, b in (("first", "second"), ("second", "third"), ("first", "third"))]
+    schema = PromptSchema("{first}{second}{third}", {n: list("vwxyz") for n in names}, {n: TIED_WEIGHTS for n in names}, tied)
+    return draw_values(ids(spark, sf_dir, "orders", "o_orderkey"), schema, SEED).select("id", "formatted_prompt")
+
+
+def sample_table_weights(spark, sf_dir):
+    """Names of parts, drawn by the sizes that the table gives them."""
+    schema = PromptSchema("about {name}", {"name": from_table(table(spark, sf_dir, "part"), "p_name", weight="p_size")})
+    return draw_values(ids(spark, sf_dir, "orders", "o_orderkey"), schema, SEED).select("id", "formatted_prompt")
+
+
 def brainstorm_prompts(spark, sf_dir):
     return draw_values(ids(spark, sf_dir, "part", "p_partkey"), presets.brainstorm_schema("short_long"), SEED).drop("sample")
 
@@ -463,6 +480,8 @@ def queries() -> dict:
         "sample_constrained": sample_constrained,
         "constraint_filter": filter_unequal,
         "sample_task_join": sample_task_join,
+        "sample_tied": sample_tied,
+        "sample_table_weights": sample_table_weights,
         "brainstorm_prompts": brainstorm_prompts,
         "render_prompt": render_prompt,
         "generate_chat": generate_chat,

@@ -13,12 +13,13 @@ from pyspark.sql import functions as F
 from pairsmith.functions import random_draw
 from pairsmith.functions.binding import let
 from pairsmith.functions import template as tpl
+from pairsmith.operators.alias import alias_table
 from pairsmith.operators.ordering import join_to_unique
 from pairsmith.operators.schema import PromptSchema
 from pairsmith.sources.value_list import ValueList
 
 INLINE_VALUES = 10_000        # longer lists are joined by index instead of inlined
-DIRECT_WEIGHTS = 200_000      # longest list whose weights go into the plan of a constrained pair
+MOST_TERMS = 1000             # of the weight of later arguments, in a group of tied ones; seven that all differ have 225
 SEPARATOR = "\u001f"
 
 
@@ -86,6 +87,11 @@ class Argument:
     def __len__(self) -> int:
         return len(self.values)
 
+    @property
+    def in_table(self) -> bool:
+        """Whether the weights are a column of the list."""
+        return isinstance(self.values, ValueList) and self.values.weighted and self.weights is None
+
     def index(self, u: Column) -> Column:
         return self.weights.index(u) if self.weights else uniform_index(u, len(self))
 
@@ -160,41 +166,192 @@ def draw_pair(df: DataFrame, first: Argument, second: Argument, seed: int) -> Da
     }).drop("_u1", "_u2", "_s", "_qs", "_end", "_v", "_t")
 
 
-def draw_by_rejection(df: DataFrame, members: list[Argument], pairs: set[tuple[str, str]], seed: int) -> DataFrame:
-    """Redraw all members of a group until every pair differs; the row keeps its first good attempt.
-
-    Attempts are tried in tiers that grow, and a later tier is only computed for rows that need
-    it. Their number follows from the measured acceptance rate, so that the chance of a row
-    without a good attempt is below 1e-15; such a row raises an error.
+@dataclass
+class Term:
+    """A product of one vector per argument (each read at that argument's index) where some indices are equal."""
+
+    vectors: dict[int, np.ndarray]
+    equal: frozenset[tuple[int, int]] = frozenset()
+
+
+def _merged(terms: list[Term]) -> list[Term]:
+    """Terms that differ in the vector of one argument only are one term with the sum of the vectors."""
+    found: dict[tuple, Term] = {}
+    for t in terms:
+        if any(not v.any() for v in t.vectors.values()):
+            continue
+        last = max(t.vectors, default=-1)
+        key = t.equal, last, tuple((k, t.vectors[k].tobytes()) for k in sorted(t.vectors) if k != last)
+        if key not in found:
+            found[key] = t
+        elif last >= 0:
+            found[key] = Term({**t.vectors, last: found[key].vectors[last] + t.vectors[last]}, t.equal)
+    return list(found.values())
+
+
+def _padded(vector: np.ndarray, length: int) -> np.ndarray:
+    """A vector read at another argument's index: 0 beyond its own end."""
+    out = np.zeros(length)
+    out[:min(length, len(vector))] = vector[:length]
+    return out
+
+
+def eliminate(terms: list[Term], j: int, p: list[np.ndarray], tied: list[set[int]]) -> list[Term]:
+    """Sum argument ``j`` out of a sum of terms, weighted by its probabilities and unequal to the earlier arguments it is
+    tied to. What is left depends on the indices of those arguments only."""
+    before = sorted(a for a in tied[j] if a < j)
+    out = []
+    for t in terms:
+        own = p[j] * t.vectors.get(j, 1.0)
+        rest = {a: v for a, v in t.vectors.items() if a != j}
+        same = {a if b == j else b for a, b in t.equal if j in (a, b)}
+        others = frozenset(e for e in t.equal if j not in e)
+        if same & set(before):
+            continue  # equal to an argument that it must differ from
+        # The product of (1 - [x_j = x_a]) over the tied arguments a, spelt out by the set that equals x_j. Two that are tied
+        # to each other are never equal, so the sets are small.
+        sets = [frozenset()]
+        for a in before:
+            sets += [s | {a} for s in sets if not any(b in tied[a] for b in s | same)]
+        for s in sets:
+            at = sorted(s | same)
+            sign = -1.0 if len(s) % 2 else 1.0
+            vectors = dict(rest)
+            if at:
+                a = at[0]
+                vectors[a] = vectors.get(a, 1.0) * sign * _padded(own, len(p[a]))
+            else:
+                a = min(rest, default=0)
+                vectors[a] = vectors.get(a, np.ones(len(p[a]))) * (sign * own.sum())
+            equal = {tuple(sorted((at[0], b))) for b in at[1:]} | others
+            if not any(b in tied[a] for a, b in equal):
+                out.append(Term(vectors, frozenset(equal)))
+    merged = _merged(out)
+    if len(merged) > MOST_TERMS:
+        raise ValueError("too many arguments are tied to each other")
+    return merged
+
+
+def _possible(p: list[np.ndarray], tied: list[set[int]]) -> bool:
+    """Whether any choice of indices with positive weight meets all constraints."""
+    left, core = set(range(len(p))), True
+    while core:  # an argument with more values than ties can always be chosen last
+        core = {j for j in left if np.count_nonzero(p[j]) > len(tied[j] & left)}
+        left -= core
+    order, values = sorted(left), {j: np.flatnonzero(p[j]).tolist() for j in left}
+
+    def go(i: int, chosen: dict[int, int]) -> bool:
+        if i == len(order):
+            return True
+        j = order[i]
+        return any(go(i + 1, {**chosen, j: v}) for v in values[j] if all(chosen.get(a) != v for a in tied[j]))
+
+    return go(0, {})
+
+
+def draw_tied(df: DataFrame, members: list[Argument], pairs: set[tuple[str, str]], seed: int) -> DataFrame:
+    """Indices of arguments that are tied by constraints, drawn one after the other without rejection.
+
+    Argument j is drawn from its exact distribution given the earlier ones: the weight of index v is its probability
+    times the total weight of all later arguments, given v and the indices drawn so far. That total is a sum of products
+    of vectors, found by eliminating the last argument, then the one before it, and so on. Running sums of its vectors
+    make the running sum of the weights one look-up per term, so a binary search finds the index.
     """
-    generator = np.random.default_rng(0)
-    trial = {m.name: np.searchsorted(m.known_weights().cdf, generator.random(100_000), side="right")
-             if m.weights is not None else generator.integers(0, len(m), 100_000) for m in members}
-    accepted = np.logical_and.reduce([trial[a] != trial[b] for a, b in pairs]).mean()
-    if accepted == 0:
+    names = [m.name for m in members]
+    p = [m.known_weights().p for m in members]
+    tied: list[set[int]] = [set() for _ in members]
+    for a, b in pairs:
+        tied[names.index(a)].add(names.index(b))
+        tied[names.index(b)].add(names.index(a))
+    if not _possible(p, tied):
         raise ValueError("no samples found that meet the constraints")
-    needed = 64 if accepted > 0.5 else math.ceil(math.log(1e-15) / math.log1p(-accepted))
-    by_name = {m.name: m for m in members}
-
-    def draw(name: str, attempt: Column) -> Column:
-        return by_name[name].index(random_draw.uniform(seed, name, F.col("id"), attempt))
-
-    def first_good(low: int, high: int) -> Column:
-        def good(attempt: Column) -> Column:
-            test = F.lit(True)
-            for a, b in sorted(pairs):
-                test = test & (draw(a, attempt) != draw(b, attempt))
-            return test
-        return F.get(F.filter(F.sequence(F.lit(low), F.lit(high - 1)), good), 0)
-
-    tiers, low, high = [], 0, 4
-    while low < needed:
-        tiers.append(first_good(low, high))
-        low, high = high, high * 4
-    df = df.withColumn("_attempt", F.coalesce(*tiers, F.raise_error(F.lit("a row met no constraint-free draw")).cast("int")))
-    df = df.withColumns({f"_u_{m.name}": random_draw.uniform(seed, m.name, F.col("id"), F.col("_attempt")) for m in members})
-    df = df.withColumns({f"_idx_{m.name}": m.index(F.col(f"_u_{m.name}")) for m in members})
-    return df.drop("_attempt", *[f"_u_{m.name}" for m in members])
+    later: list[list[Term]] = [[Term({})]]
+    for j in range(len(members) - 1, 0, -1):
+        later.insert(0, eliminate(later[0], j, p, tied))
+    for j, member in enumerate(members):
+        df = _draw_given(df, j, member, p[j], later[j], sorted(a for a in tied[j] if a < j), seed)
+    return df.select(*[c for c in df.columns if not c.startswith("_x")], *[F.col(f"_x{j}").alias(f"_idx_{m.name}") for j, m in enumerate(members)])
+
+
+def _at(vector: np.ndarray, index: Column) -> Column:
+    """A vector at an index, 0 outside of it."""
+    return F.coalesce(F.get(number_array(vector.tolist(), "double"), index), F.lit(0.0))
+
+
+def _draw_given(df: DataFrame, j: int, member: Argument, p: np.ndarray, terms: list[Term], unequal: list[int], seed: int) -> DataFrame:
+    """Add ``_x{j}``, given the columns of the earlier arguments."""
+    kept, n = df.columns, len(p)
+    factors, points = [], []
+    for t in terms:
+        factor = F.lit(1.0)
+        for a, v in t.vectors.items():
+            if a != j:
+                factor = factor * _at(v, F.col(f"_x{a}"))
+        for a, b in t.equal:
+            if j not in (a, b):
+                factor = F.when(F.col(f"_x{a}") == F.col(f"_x{b}"), factor).otherwise(0.0)
+        own = p * t.vectors.get(j, np.ones(n))
+        same = [a if b == j else b for a, b in t.equal if j in (a, b)]
+        if same:  # weight at one index only
+            for a in same[1:]:
+                factor = F.when(F.col(f"_x{a}") == F.col(f"_x{same[0]}"), factor).otherwise(0.0)
+            points.append((factor * _at(own, F.col(f"_x{same[0]}")), F.col(f"_x{same[0]}")))
+        else:
+            factors.append((factor, own))
+    df = df.withColumn("_u", random_draw.uniform(seed, member.name, F.col("id")))
+    df = settle(df.withColumns({f"_f{i}": f for i, (f, _) in enumerate(factors)} | {f"_g{i}": g for i, (g, _) in enumerate(points)}),
+                ["_u", *(f"_f{i}" for i in range(len(factors))), *(f"_g{i}" for i in range(len(points)))])
+
+    def weight(index: Column) -> Column:
+        return sum((F.col(f"_f{i}") * _at(own, index) for i, (_, own) in enumerate(factors)), F.lit(0.0))
+
+    # Indices that an earlier argument has taken, each once, with the weight they would have had.
+    taken = []
+    for place, a in enumerate(unequal):
+        first = F.lit(True)
+        for b in unequal[:place]:
+            first = first & (F.col(f"_x{a}") != F.col(f"_x{b}"))
+        taken.append(F.when(first, weight(F.col(f"_x{a}"))).otherwise(0.0))
+    df = settle(df.withColumns({f"_t{i}": t for i, t in enumerate(taken)}), [f"_t{i}" for i in range(len(taken))])
+
+    def up_to(index: Column) -> Column:
+        """Weight of all indices up to ``index``."""
+        total = sum((F.col(f"_f{i}") * F.get(number_array(np.cumsum(own).tolist(), "double"), F.least(index, F.lit(n - 1))) for i, (_, own) in enumerate(factors)), F.lit(0.0))
+        for i, a in enumerate(unequal):
+            total = total - F.when(F.col(f"_x{a}") <= index, F.col(f"_t{i}")).otherwise(0.0)
+        for i, (_, at) in enumerate(points):
+            total = total + F.when(at <= index, F.col(f"_g{i}")).otherwise(0.0)
+        return total
+
+    df = settle(df.withColumn("_y", F.col("_u") * up_to(F.lit(n - 1))), ["_y"])
+    halves = F.array(*[F.lit(1 << b) for b in reversed(range((n - 1).bit_length()))])
+    found = F.aggregate(halves, F.lit(0), lambda i, step: F.when((i + step <= n - 1) & (up_to(i + step - 1) <= F.col("_y")), i + step).otherwise(i)) if n > 1 else F.lit(0)
+    # Where rounding ends on an index that is taken or has no weight, the next one that is free is meant.
+    follows = np.flatnonzero(p)[np.searchsorted(np.flatnonzero(p), np.arange(n), side="right") % np.count_nonzero(p)]
+
+    def moved_on(index: Column) -> Column:
+        barred = F.get(number_array((p > 0).astype(int).tolist(), "int"), index) == 0
+        for a in unequal:
+            barred = barred | (F.col(f"_x{a}") == index)
+        return F.when(barred, F.get(number_array(follows.tolist(), "int"), index)).otherwise(index)
+
+    for _ in range(len(unequal) + 1):
+        found = let(found, moved_on)
+    return settle(df.withColumn(f"_x{j}", found), [f"_x{j}"]).select(*kept, f"_x{j}")
+
+
+def draw_from_table(df: DataFrame, argument: Argument, seed: int) -> DataFrame:
+    """Index and value by one join on a slot of the list's alias table; slots are drawn evenly, whatever the weights."""
+    name = argument.name
+    slots = alias_table(argument.values.df, len(argument)).withColumnRenamed("slot", "_slot")
+    rows = df.withColumns({
+        "_slot": F.floor(random_draw.uniform(seed, name, F.col("id")) * len(argument)).cast("long"),
+        "_place": random_draw.uniform(seed, name, F.col("id"), 1),
+    })
+    kept = F.col("_place") < F.col("keeps")
+    return rows.join(slots, "_slot").select(
+        *df.columns, F.when(kept, F.col("_slot")).otherwise(F.col("other")).alias(f"_idx_{name}"),
+        F.when(kept, F.col("value")).otherwise(F.col("other_value")).alias(f"_val_{name}"))
 
 
 def draw_indices(df: DataFrame, schema: PromptSchema, seed: int) -> DataFrame:
@@ -204,11 +361,14 @@ def draw_indices(df: DataFrame, schema: PromptSchema, seed: int) -> DataFrame:
     for names, pairs in _components(schema):
         tied |= set(names)
         members = [arguments[n] for n in names]
-        if len(members) == 2 and max(map(len, members)) <= DIRECT_WEIGHTS:
-            df = draw_pair(df, members[0], members[1], seed)
-        else:
-            df = draw_by_rejection(df, members, pairs, seed)
-    free = [a for a in arguments.values() if a.name not in tied]
+        for m in members:
+            if m.in_table:
+                raise ValueError(f"weights in a table can't be used with a constraint on {m.name!r}")
+        df = draw_pair(df, *members, seed) if len(members) == 2 else draw_tied(df, members, pairs, seed)
+    for a in arguments.values():
+        if a.in_table:
+            df = draw_from_table(df, a, seed)
+    free = [a for a in arguments.values() if a.name not in tied and not a.in_table]
     if free:
         df = df.withColumns({f"_u_{a.name}": random_draw.uniform(seed, a.name, F.col("id")) for a in free})
         df = df.withColumns({f"_idx_{a.name}": a.index(F.col(f"_u_{a.name}")) for a in free})
@@ -238,6 +398,8 @@ def constraint_filter(df: DataFrame, constraints: list[dict[str, str]] | None, p
 def _attach_values(df: DataFrame, argument: Argument) -> DataFrame:
     """Replace ``_idx_<arg>`` by the value."""
     index, target = f"_idx_{argument.name}", f"_val_{argument.name}"
+    if argument.in_table:
+        return df.drop(index)
     values = argument.values
     if isinstance(values, list) and len(values) > INLINE_VALUES:
         spark = df.sparkSession

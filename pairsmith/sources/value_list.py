@@ -10,22 +10,32 @@ from pyspark.sql import functions as F
 
 @dataclass
 class ValueList:
-    """A list of strings too long to inline; ``df`` has columns ``idx bigint, value string``."""
+    """A list of strings too long to inline; ``df`` has columns ``idx bigint, value string`` and, if the list is
+    ``weighted``, ``weight decimal``."""
 
     df: DataFrame
     length: int
+    weighted: bool = False
 
     def __len__(self) -> int:
         return self.length
 
 
-def from_table(df: DataFrame, column: str) -> ValueList:
-    """Distinct values of a column, numbered in sorted order, so that later draws are reproducible."""
+WEIGHT = "decimal(28,9)"
+
+
+def from_table(df: DataFrame, column: str, weight: str | None = None) -> ValueList:
+    """Distinct values of a column, numbered in sorted order, so that later draws are reproducible.
+
+    ``weight``: a column of weights of at least 0 with up to nine decimals; they need not sum to 1, and those of equal
+    values add up. No weight ends up in a plan or on the driver.
+    """
     from pairsmith.operators.ordering import dense_index
 
-    values = df.select(F.col(column).alias("value")).dropDuplicates(["value"])
+    rows = df.select(F.col(column).alias("value"), *([F.col(weight).cast(WEIGHT).alias("weight")] if weight else []))
+    values = rows.groupBy("value").agg(F.sum("weight").cast(WEIGHT).alias("weight")) if weight else rows.dropDuplicates(["value"])
     numbered, length = dense_index(values, [F.col("value")], label="values", unique=True)
-    return ValueList(numbered.select("idx", "value"), length)
+    return ValueList(numbered.select("idx", *values.columns), length, bool(weight))
 
 
 def read_value_list(spark: SparkSession, path: str) -> ValueList:
