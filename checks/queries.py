@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import checks.stand_ins  # noqa: F401
 from pairsmith.functions import vectors
 from pairsmith.functions.template import render_row
-from pairsmith.operators import neighbours
+from pairsmith.operators import approximate, neighbours
 from pairsmith.operators.collect import collect_ideas, collect_json, distinct_ideas, read_list
 from pairsmith.operators.model_map import (EmbeddingConfig, GenerationConfig, chat_messages, embed, generate,
                                            merge_params)
@@ -322,6 +322,20 @@ def topk_neighbours(spark, sf_dir):
     return neighbours.exploded(neighbours.top_k(queries, queries.withColumnRenamed("q", "d"), 10))
 
 
+def topk_approximate(spark, sf_dir):
+    """Approximate hits of every vector, judged by exact products and by the recall against exact neighbours."""
+    rows = table(spark, sf_dir, "embeddings", F.col("vec_id").alias("q"), F.col("embedding").alias("vector"))
+    docs = rows.withColumnRenamed("q", "d")
+    found = materialise(neighbours.exploded(approximate.top_k(rows, docs, 10)), "approximate")
+    exact = neighbours.exploded(neighbours.top_k(rows, docs, 10)).select("q", "d", F.lit(1).alias("hit"))
+    product = F.aggregate(F.zip_with("vector", "other", lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda a, x: a + x)
+    judged = found.join(rows, "q").join(docs.withColumnRenamed("vector", "other"), "d").join(exact, ["q", "d"], "left") \
+        .select("q", (F.abs(product - F.col("sim")) > 2e-6).cast("long").alias("wrong"), "hit")
+    per_query = judged.groupBy("q").agg(F.count("*").alias("hits"), F.sum("wrong").alias("wrong_scores"), F.sum("hit").alias("shared"))
+    enough = per_query.agg((F.sum("shared") >= 0.9 * F.sum("hits")).alias("recall_reached"))
+    return per_query.drop("shared").join(F.broadcast(enough))  # one row of one value
+
+
 def pairwise_similarity(spark, sf_dir):
     """The three documents most similar to every conversation turn."""
     turns = table(spark, sf_dir, "conversations",
@@ -504,6 +518,7 @@ def queries() -> dict:
         "truncate_tokens": truncate_tokens,
         "embed_stub": embed_words,
         "topk_neighbours": topk_neighbours,
+        "topk_approximate": topk_approximate,
         "pairwise_similarity": pairwise_similarity,
         "hard_negatives": mined_negatives,
         "hard_negatives_fallback": mined_negatives_fallback,

@@ -7,6 +7,12 @@ with q is at most |q| |v| cos(angle(q, p) - r). The query's k-th best product ov
 Groups whose bound lies below it cannot matter. So no all-pairs join is planned, the result stays
 exact, and vectors without any cluster structure only cost more visits.
 
+Groups have ``CELL_TILES`` tiles of rows on average. Up to ``FAN`` groups form one level, whose pivots and bounds every task
+holds. Above that there are two levels: the driver and the tasks hold the upper pivots, about the square root of the
+number of groups, and lower pivots, their bounds and the numbers of their rows stay in tables that are joined by
+upper group. Bounds hold on both levels, so the result is the same. A corpus of one group needs no pivot, and is
+answered in one round by the same join of tiles.
+
 Equal vectors are handled once: of equal corpus vectors only the k lowest ids can be among the k
 best, and equal query vectors have equal results. Groups of any size are cut into tiles of bounded
 size, and a tile of queries and a tile of vectors meet in one matrix product. Scores are rounded
@@ -32,7 +38,8 @@ from pairsmith.operators.ordering import hot_hashes, join_to_unique
 from pairsmith.session import materialise
 
 TILE_ROWS = 2048      # expected rows per side of a tile
-MAX_PIVOTS = 2048     # bounds what the driver and every task hold: pivots, and one row per group
+CELL_TILES = 4        # expected tiles of a group
+FAN = 2048            # most groups of one level; bounds what the driver and every task hold
 DIGITS = 6
 SLACK = 2 * 10.0**-DIGITS
 BLOCK_COLUMNS = 32
@@ -85,11 +92,23 @@ def _distinct_queries(queries: DataFrame) -> DataFrame:
     return _hashed(queries).groupBy(*VECTOR_KEY).agg(F.min("q").alias("q"), F.count(F.lit(1)).alias("count"))
 
 
-def _pivots(corpus: DataFrame, count: int) -> np.ndarray:
-    """A repeatable choice of ``count`` distinct unit vectors; of equal ones the first copy counts."""
-    picked = corpus.where("_copy = 1").select("vector").orderBy(F.xxhash64("vector"), "vector").limit(count).collect()
+def _some(corpus: DataFrame, count: int, rows: int, tag: str) -> DataFrame:
+    """About ``count`` distinct vectors of ``rows``, picked by hash; copies of one vector are picked together."""
+    place = F.pmod(F.xxhash64(F.lit(tag), "vector"), F.lit(1 << 30))
+    return corpus.select("vector").where(place < math.ceil(min(1.0, count / rows) * (1 << 30))).dropDuplicates()
+
+
+def _pivots(corpus: DataFrame, count: int, rows: int) -> np.ndarray:
+    """A repeatable choice of up to ``count`` distinct unit vectors, at least one: of four times as many candidates each
+    time the one farthest from those chosen, so that no cluster among them is left without a pivot."""
+    order = [F.xxhash64("vector"), F.col("vector")]
+    picked = _some(corpus, 4 * count, rows, "pivot").orderBy(*order).limit(4 * count).collect() or corpus.select("vector").orderBy(*order).limit(1).collect()
     unit, _ = _unit(np.array([r["vector"] for r in picked], dtype=np.float64).reshape(len(picked), -1))
-    return unit
+    chosen, nearest = [0], unit @ unit[0]
+    while len(chosen) < min(count, len(unit)):
+        chosen.append(int(nearest.argmin()))
+        nearest = np.maximum(nearest, unit @ unit[chosen[-1]])
+    return unit[chosen]
 
 
 def _assign(df: DataFrame, pivots: np.ndarray) -> DataFrame:
@@ -117,11 +136,27 @@ def _assign(df: DataFrame, pivots: np.ndarray) -> DataFrame:
     return df.mapInArrow(run, T.StructType([*df.schema.fields, *added_fields.fields]))
 
 
-def _visit(queries: DataFrame, pivots: np.ndarray, stats: dict[str, np.ndarray], k: int, first: bool) -> DataFrame:
+def _opening(near: np.ndarray, count: np.ndarray, k: int) -> np.ndarray:
+    """For each query its nearest groups that hold k vectors together."""
+    order = np.argsort(-near, axis=1, kind="stable")
+    before = np.cumsum(count[order], axis=1) - count[order]
+    opening = np.zeros_like(near, dtype=bool)
+    np.put_along_axis(opening, order, before < k, axis=1)
+    return opening & (count > 0)
+
+
+def _reaching(near: np.ndarray, norms: np.ndarray, s: dict[str, np.ndarray], floor: np.ndarray) -> np.ndarray:
+    """Groups whose bound reaches the query's ``floor``, the k-th best score so far."""
+    gap = np.maximum(np.arccos(np.clip(near, -1, 1)) - s["angle"] - 1e-9, 0)
+    bound = norms[:, None] * s["norm"] * np.maximum(np.cos(gap), 0)
+    return (s["count"] > 0) & (bound >= floor[:, None] - SLACK)
+
+
+def _visit(queries: DataFrame, pivots: np.ndarray, stats: dict[str, np.ndarray], k: int, first: bool, whole: bool = True) -> DataFrame:
     """``(q, vector, floor, cells)``: the groups that a query has to meet, still one row per query.
 
-    ``first``: its nearest groups that hold k vectors together. Otherwise: the other groups whose
-    bound reaches the ``floor`` column, the k-th best score so far.
+    ``first``: its nearest groups that hold k vectors together. Otherwise those whose bound reaches the floor; if the
+    opening groups were met ``whole``, they are left out, and else they come as numbers below 0 (-1 - cell).
     """
     shared = queries.sparkSession.sparkContext.broadcast((pivots, stats))
 
@@ -132,36 +167,34 @@ def _visit(queries: DataFrame, pivots: np.ndarray, stats: dict[str, np.ndarray],
                 part = batch.slice(start, TILE_ROWS)
                 unit, norms = _unit(_matrix(part.column("vector")))
                 near = unit @ centres.T
-                order = np.argsort(-near, axis=1, kind="stable")
-                seen = np.cumsum(s["count"][order], axis=1)
-                opening = np.zeros_like(near, dtype=bool)
-                np.put_along_axis(opening, order, (seen - s["count"][order]) < k, axis=1)
-                if first:
-                    meet = opening & (s["count"] > 0)
-                else:
-                    gap = np.maximum(np.arccos(np.clip(near, -1, 1)) - s["angle"] - 1e-9, 0)
-                    bound = norms[:, None] * s["norm"] * np.maximum(np.cos(gap), 0)
-                    floor = part.column("floor").to_numpy(zero_copy_only=False)
-                    meet = ~opening & (s["count"] > 0) & (bound >= floor[:, None] - SLACK)
+                opening = _opening(near, s["count"], k)
+                meet = opening if first else _reaching(near, norms, s, part.column("floor").to_numpy(zero_copy_only=False))
+                if not first and whole:
+                    meet &= ~opening
+                row, cell = np.nonzero(meet)
+                if not whole:
+                    cell = np.where(opening[row, cell], -1 - cell, cell)
                 offsets = np.concatenate([[0], np.cumsum(meet.sum(axis=1))]).astype(np.int32)
-                cells = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.nonzero(meet)[1].astype(np.int32)))
+                cells = pa.ListArray.from_arrays(pa.array(offsets), pa.array(cell.astype(np.int64)))
                 columns = [part.column(name) for name in ("q", "vector", "floor")]
                 yield pa.RecordBatch.from_arrays([*columns, cells], names=["q", "vector", "floor", "cells"])
 
-    return queries.select("q", "vector", "floor").mapInArrow(run, "q long, vector array<float>, floor double, cells array<int>")
+    return queries.select("q", "vector", "floor").mapInArrow(run, VISITS)
 
 
-def _pieces(counts: dict[int, int]) -> dict[int, int]:
-    return {cell: math.ceil(rows / TILE_ROWS) for cell, rows in counts.items()}
+VISITS = "q long, vector array<float>, floor double, cells array<long>"
 
 
-def _per_cell(pieces: dict[int, int], cell: Column) -> Column:
-    """Number of pieces of a cell; most cells have one, and the map literal holds the others."""
-    many = [(c, n) for c, n in sorted(pieces.items()) if n > 1]
-    if not many:
-        return F.lit(1)
-    table = F.from_json(F.lit("{" + ",".join(f'"{c}":{n}' for c, n in many) + "}"), "map<string,int>")
-    return F.coalesce(F.try_element_at(table, cell.cast("string")), F.lit(1))
+def _pieces(rows: str) -> Column:
+    return F.ceil(F.col(rows) / F.lit(TILE_ROWS)).cast("int")
+
+
+def _piece(row_id: str, pieces: Column) -> Column:
+    return F.pmod(F.xxhash64(row_id), pieces).cast("int")
+
+
+def _every(pieces: Column) -> Column:
+    return F.explode(F.sequence(F.lit(0), pieces - 1))
 
 
 def _tile_top(products: np.ndarray, ids: np.ndarray, k: int, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -195,32 +228,27 @@ def _tile_top(products: np.ndarray, ids: np.ndarray, k: int, floor: np.ndarray)
     return row, best.reshape(-1), np.take_along_axis(rounded, best, axis=1).reshape(-1) / scale
 
 
-def _cell_counts(visits: DataFrame) -> dict[int, int]:
-    counts = visits.select(F.explode("cells").alias("cell")).groupBy("cell").count()
-    return {r["cell"]: r["count"] for r in counts.collect()}  # at most MAX_PIVOTS rows
+def _sizes(visits: DataFrame, cells: DataFrame) -> DataFrame:
+    """``(cell, qp, dp)``: pieces of queries and of corpus of every group that is visited; ``cells`` has its rows."""
+    asked = visits.select(F.explode("cells").alias("cell")).groupBy("cell").agg(F.count(F.lit(1)).alias("asked"))
+    return asked.join(cells.select("cell", F.col("count").alias("rows")), "cell").select("cell", _pieces("asked").alias("qn"), _pieces("rows").alias("dn"))
 
 
-def _tile_join(visits: DataFrame, visit_counts: dict[int, int], corpus: DataFrame, corpus_counts: dict[int, int],
-               k: int, payload: list[str]) -> DataFrame:
-    """Local top k of every visit, as far as it reaches the floor: ``(q, d, score, *payload)``.
+def _tile_join(visits: DataFrame, corpus: DataFrame, sizes: DataFrame | tuple[int, int], k: int, payload: list[str]) -> DataFrame:
+    """Local top k of every visit, as far as it reaches the floor: ``(q, d, score, *payload)``. ``sizes`` is a table of pieces
+    by cell, or the pieces of the only cell.
 
     A pair of tiles is one group of a cogroup, keyed by (cell, piece of queries, piece of corpus).
     Either side is copied once per piece of the other, so a cell with much of the data becomes
     many tasks of bounded size.
     """
-    query_pieces, corpus_pieces = _pieces(visit_counts), _pieces(corpus_counts)
-    cell = F.col("cell")
-
-    def own(pieces: dict[int, int], row_id: str) -> Column:
-        return F.pmod(F.xxhash64(row_id), _per_cell(pieces, cell)).cast("int")
-
-    def every(pieces: dict[int, int]) -> Column:
-        return F.explode(F.sequence(F.lit(0), _per_cell(pieces, cell) - 1))
+    def with_pieces(rows: DataFrame) -> DataFrame:
+        return rows.withColumns({"qn": F.lit(sizes[0]), "dn": F.lit(sizes[1])}) if isinstance(sizes, tuple) else rows.join(sizes, "cell")
 
-    left = visits.select("q", "vector", "floor", F.explode("cells").alias("cell"))
-    left = left.withColumn("qp", own(query_pieces, "q")).withColumn("dp", every(corpus_pieces))
-    right = corpus.select("d", "vector", "cell", *payload).where(cell.isin(list(visit_counts)))
-    right = right.withColumn("dp", own(corpus_pieces, "d")).withColumn("qp", every(query_pieces))
+    left = with_pieces(visits.select("q", "vector", "floor", F.explode("cells").alias("cell")))
+    left = left.select("q", "vector", "floor", "cell", _piece("q", F.col("qn")).alias("qp"), _every(F.col("dn")).alias("dp"))
+    right = with_pieces(corpus.select("d", "vector", "cell", *payload))
+    right = right.select("d", "vector", "cell", *payload, _piece("d", F.col("dn")).alias("dp"), _every(F.col("qn")).alias("qp"))
     keys = ["cell", "qp", "dp"]
 
     def meet(queries: pa.Table, docs: pa.Table) -> pa.Table:
@@ -246,27 +274,128 @@ def _best(partial: DataFrame, k: int) -> DataFrame:
     return partial.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def _per_vector(queries: DataFrame, corpus: DataFrame, corpus_size: int, k: int, payload: list[str],
-                pivots: int | None) -> DataFrame:
-    """``(hash, vector, count, neighbours)`` per distinct query vector."""
-    docs = materialise(_distinct_corpus(corpus, k), "corpus")
-    asked = materialise(_distinct_queries(queries), "queries")
-    centres = _pivots(docs, pivots or min(MAX_PIVOTS, max(2, corpus_size // TILE_ROWS)))
-    docs = materialise(_assign(docs.drop("_copy"), centres), "corpus-cells")
-    rows = docs.groupBy("cell").agg(
-        F.count(F.lit(1)).alias("count"), F.max("angle").alias("angle"), F.max("norm").alias("norm")
-    ).collect()  # at most MAX_PIVOTS rows
-    stats = {name: np.zeros(len(centres)) for name in ("count", "angle", "norm")}
-    for row in rows:
+def _cells(docs: DataFrame, *key: str) -> DataFrame:
+    return docs.groupBy(*key).agg(F.count(F.lit(1)).alias("count"), F.max("angle").alias("angle"), F.max("norm").alias("norm"))
+
+
+def _collected(rows: DataFrame, pivots: int) -> dict[str, np.ndarray]:
+    """Bounds of the groups of the upper or only level, at most ``pivots`` rows."""
+    stats = {name: np.zeros(pivots) for name in ("count", "angle", "norm")}
+    for row in rows.collect():
         for name in stats:
             stats[name][row["cell"]] = row[name]
-    sizes = {r["cell"]: r["count"] for r in rows}
-    opening = materialise(_visit(asked.withColumn("floor", _no_floor()), centres, stats, k, first=True), "visits")
-    near = materialise(_tile_join(opening, _cell_counts(opening), docs, sizes, k, payload), "near")
+    return stats
+
+
+class _OneLevel:
+    """Groups around pivots that every task holds."""
+
+    def __init__(self, corpus: DataFrame, docs: DataFrame, cells: int, rows: int):
+        self.pivots = _pivots(corpus, cells, rows)
+        self.docs = materialise(_assign(docs, self.pivots), "corpus-cells")
+        self.cells = materialise(_cells(self.docs, "cell"), "cells")
+        self.stats = _collected(self.cells, len(self.pivots))
+
+    def visits(self, asked: DataFrame, k: int, first: bool) -> DataFrame:
+        return _visit(asked, self.pivots, self.stats, k, first)
+
+    def sizes(self, visits: DataFrame) -> DataFrame:
+        return F.broadcast(_sizes(visits, self.cells))  # at most FAN rows
+
+
+class _TwoLevels:
+    """Lower groups around pivots in a table, joined by upper group."""
+
+    def __init__(self, corpus: DataFrame, docs: DataFrame, cells: int, rows: int):
+        self.pivots = _pivots(corpus, math.ceil(math.sqrt(cells)), rows)
+        upper = materialise(_assign(docs, self.pivots), "corpus-upper")
+        lower = _assign(_some(corpus, cells, rows, "lower"), self.pivots).select("vector", F.col("cell").alias("upper"))
+        heads = corpus.sparkSession.createDataFrame([(-1 - i, [float(x) for x in v], i) for i, v in enumerate(self.pivots)], "low long, vector array<float>, upper int")
+        low = materialise(lower.select(F.monotonically_increasing_id().alias("low"), "vector", "upper").unionByName(heads), "lower-pivots")
+        # Each vector goes to the nearest of one piece of the lower pivots of its group.
+        many = low.groupBy("upper").agg(F.count(F.lit(1)).alias("lower"))
+        sizes = F.broadcast(upper.groupBy(F.col("cell").alias("upper")).agg(F.count(F.lit(1)).alias("rows")).join(many, "upper").select(
+            "upper", _pieces("lower").alias("ln"), F.ceil(F.col("rows") / F.lit(CELL_TILES * TILE_ROWS)).cast("int").alias("dn")))  # a row an upper pivot
+        left = upper.withColumnRenamed("cell", "upper").join(sizes, "upper")
+        left = left.withColumns({"lp": _piece("d", F.col("ln")), "dp": F.pmod(F.xxhash64(F.lit("dp"), "d"), F.col("dn")).cast("int")}).drop("ln", "dn")
+        right = low.join(sizes, "upper").select("low", "vector", "upper", _piece("low", F.col("ln")).alias("lp"), _every(F.col("dn")).alias("dp"))
+        keys, names = ["upper", "lp", "dp"], [*docs.columns, "norm"]
+
+        def nearest(rows: pa.Table, pivots: pa.Table) -> pa.Table:
+            angle, cell = rows.column("angle").to_numpy().copy(), -1 - rows.column("upper").to_numpy().astype(np.int64)
+            if rows.num_rows and pivots.num_rows:
+                centres, _ = _unit(_matrix(pivots.column("vector")))
+                ids = pivots.column("low").to_numpy()
+                for start in range(0, rows.num_rows, TILE_ROWS):
+                    unit, _ = _unit(_matrix(rows.column("vector").slice(start, TILE_ROWS)))
+                    near = unit @ centres.T
+                    best = near.argmax(axis=1)
+                    cell[start:start + TILE_ROWS] = ids[best]
+                    angle[start:start + TILE_ROWS] = np.arccos(np.clip(near[np.arange(len(best)), best], -1, 1))
+            return pa.table([*[rows.column(c) for c in names], rows.column("upper"), pa.array(angle), pa.array(cell)], names=[*names, "upper", "angle", "cell"])
+
+        schema = T.StructType([*[left.schema[c] for c in names], left.schema["upper"], left.schema["angle"], T.StructField("cell", T.LongType())])
+        self.docs = materialise(left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(nearest, schema), "corpus-cells")
+        self.cells = materialise(_cells(self.docs, "cell", "upper").join(low.select(F.col("low").alias("cell"), "vector"), "cell"), "cells")
+        self.stats = _collected(_cells(upper, "cell"), len(self.pivots))
+
+    def visits(self, asked: DataFrame, k: int, first: bool) -> DataFrame:
+        coarse = materialise(_visit(asked, self.pivots, self.stats, k, first, whole=False), "visits-upper")
+        coarse = coarse.select("q", "vector", "floor", F.explode("cells").alias("u"))
+        coarse = coarse.select("q", "vector", "floor", (F.col("u") < 0).alias("opened"), F.when(F.col("u") < 0, -1 - F.col("u")).otherwise(F.col("u")).cast("int").alias("upper"))
+        sizes = coarse.groupBy("upper").agg(F.count(F.lit(1)).alias("asked")).join(self.cells.groupBy("upper").agg(F.count(F.lit(1)).alias("lower")), "upper")
+        sizes = F.broadcast(sizes.select("upper", _pieces("asked").alias("qn"), _pieces("lower").alias("ln")))  # a row an upper pivot
+        left = coarse.join(sizes, "upper").select("q", "vector", "floor", "opened", "upper", _piece("q", F.col("qn")).alias("qp"), _every(F.col("ln")).alias("lp"))
+        right = self.cells.join(sizes, "upper").select("cell", F.col("vector").alias("pivot"), "count", "angle", "norm", "upper",
+                                                       _piece("cell", F.col("ln")).alias("lp"), _every(F.col("qn")).alias("qp"))
+        keys = ["upper", "qp", "lp"]
+
+        def meet(queries: pa.Table, cells: pa.Table) -> pa.Table:
+            offsets, flat = np.zeros(queries.num_rows + 1, np.int32), np.zeros(0, np.int64)
+            if queries.num_rows and cells.num_rows:
+                unit, norms = _unit(_matrix(queries.column("vector")))
+                centres, _ = _unit(_matrix(cells.column("pivot")))
+                near = unit @ centres.T
+                s = {name: cells.column(name).to_numpy() for name in ("count", "angle", "norm")}
+                # The order of rows in a group is not fixed; ties between pivots are settled by their numbers.
+                order = np.argsort(cells.column("cell").to_numpy())
+                near, s, ids = near[:, order], {name: v[order] for name, v in s.items()}, cells.column("cell").to_numpy()[order]
+                found = _opening(near, s["count"], k)
+                if not first:
+                    opened = queries.column("opened").to_numpy()
+                    found = _reaching(near, norms, s, queries.column("floor").to_numpy()) & ~(found & opened[:, None])
+                offsets[1:], flat = np.cumsum(found.sum(axis=1)), ids[np.nonzero(found)[1]]
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+            return pa.table([*[queries.column(c) for c in ("q", "vector", "floor")], lists], names=["q", "vector", "floor", "cells"])
+
+        return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(meet, VISITS)
+
+    def sizes(self, visits: DataFrame) -> DataFrame:
+        return materialise(_sizes(visits, self.cells), "sizes")
+
+
+def _found(asked: DataFrame, corpus: DataFrame, corpus_size: int, k: int, payload: list[str], pivots: int | None) -> DataFrame:
+    """``(q, d, score, *payload)`` that holds the k best of every query."""
+    docs, cells = _distinct_corpus(corpus, k).drop("_copy"), pivots or corpus_size // (CELL_TILES * TILE_ROWS)
+    asked = asked.withColumn("floor", _no_floor())
+    if cells < 2:
+        sizes = max(1, math.ceil(asked.count() / TILE_ROWS)), max(1, math.ceil(corpus_size / TILE_ROWS))
+        visits = asked.select("q", "vector", "floor", F.array(F.lit(0).cast("long")).alias("cells"))
+        return _tile_join(visits, docs.withColumn("cell", F.lit(0).cast("long")), sizes, k, payload)
+    index = (_OneLevel if cells <= FAN else _TwoLevels)(corpus, docs, cells, corpus_size)
+    opening = materialise(index.visits(asked, k, first=True), "visits")
+    near = materialise(_tile_join(opening, index.docs, index.sizes(opening), k, payload), "near")
     # A corpus below k vectors is opened whole, and then no group is left for the second round.
     floor = _best(near, k).groupBy("q").agg(F.min("score").alias("floor"))
-    later = materialise(_visit(asked.join(floor, "q"), centres, stats, k, first=False), "visits")
-    found = near.unionByName(_tile_join(later, _cell_counts(later), docs, sizes, k, payload))
+    later = materialise(index.visits(asked.drop("floor").join(floor, "q"), k, first=False), "visits")
+    return near.unionByName(_tile_join(later, index.docs, index.sizes(later), k, payload))
+
+
+def _per_vector(queries: DataFrame, corpus: DataFrame, corpus_size: int, k: int, payload: list[str],
+                pivots: int | None) -> DataFrame:
+    """``(hash, vector, count, neighbours)`` per distinct query vector."""
+    asked = materialise(_distinct_queries(queries), "queries")
+    found = _found(asked, corpus, corpus_size, k, payload, pivots)
     return asked.join(_lists(found, k, payload), "q", "left").select(*VECTOR_KEY, "count", "neighbours")
 
 

@@ -48,8 +48,10 @@ def small_tiles(monkeypatch):
 
 
 @pytest.mark.parametrize("unit", [True, False])
-@pytest.mark.parametrize("pivots", [None, 9])
-def test_pruned_join_is_exact(spark, small_tiles, unit, pivots):
+@pytest.mark.parametrize("pivots,fan", [(None, 2048), (9, 2048), (60, 8), (25, 2)])
+def test_pruned_join_is_exact(spark, small_tiles, monkeypatch, unit, pivots, fan):
+    """On one level and on two."""
+    monkeypatch.setattr(neighbours, "FAN", fan)
     docs = clustered(600, 8, 1, copies=200, unit=unit)
     queries = [(i + 5000, v) for i, v in clustered(300, 8, 2, copies=100, unit=unit)] + [(9999, docs[0][1]), (9998, np.zeros(8))]
     got = found_by(neighbours.top_k(frame(spark, queries, "q"), frame(spark, docs, "d"), 7, pivots=pivots))
@@ -66,16 +68,49 @@ def test_tiles_without_pruning(spark, monkeypatch):
 
 def test_groups_are_pruned(spark, small_tiles, monkeypatch):
     """Well separated groups meet only themselves in the second round."""
-    visits = []
-    original = neighbours._cell_counts
-    monkeypatch.setattr(neighbours, "_cell_counts", lambda v: visits.append(original(v)) or visits[-1])
+    visits = counted_visits(monkeypatch)
     rng = np.random.default_rng(5)
     centres = np.eye(12)[:10] * 1.0
     points = np.repeat(centres, 60, axis=0) + 0.02 * rng.normal(size=(600, 12))
     docs = as_float32(list(enumerate(points / np.linalg.norm(points, axis=1)[:, None])))
     got = found_by(neighbours.top_k(frame(spark, docs, "q"), frame(spark, docs, "d"), 5, pivots=30))
     assert got == brute_force(docs, docs, 5)
-    assert sum(visits[0].values()) + sum(visits[1].values()) < 600 * 12  # of 600 * 30 without pruning
+    assert sum(visits) < 600 * 12  # of 600 * 30 without pruning
+
+
+def counted_visits(monkeypatch, rows=None):
+    """Visits of each round, and in ``rows`` the pairs of vectors that they stand for."""
+    visits, original = [], neighbours._sizes
+
+    def counting(found, cells):
+        per_cell = found.select(F.explode("cells").alias("cell")).groupBy("cell").count().withColumnRenamed("count", "n")
+        joined = per_cell.join(cells, "cell").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("count")).alias("pairs")).first()
+        visits.append(joined["n"] or 0)
+        if rows is not None:
+            rows.append(joined["pairs"] or 0)
+        return original(found, cells)
+
+    monkeypatch.setattr(neighbours, "_sizes", counting)
+    return visits
+
+
+def test_work_grows_with_the_rows_on_two_levels(spark, monkeypatch):
+    """Clusters of a fixed size: four times the rows meet about four times the pairs."""
+    monkeypatch.setattr(neighbours, "TILE_ROWS", 64)
+    monkeypatch.setattr(neighbours, "FAN", 4)
+    work = {}
+    for clusters in (20, 80):
+        rng = np.random.default_rng(clusters)
+        points = np.repeat(rng.normal(size=(clusters, 24)), 24, axis=0)
+        points += 0.05 * rng.normal(size=points.shape)
+        docs = as_float32(list(enumerate(points / np.linalg.norm(points, axis=1)[:, None])))
+        pairs = []
+        with monkeypatch.context() as patch:
+            counted_visits(patch, pairs)
+            got = found_by(neighbours.top_k(frame(spark, docs, "q"), frame(spark, docs, "d"), 5, pivots=len(docs) // 6))
+        assert got == brute_force(docs, docs, 5)
+        work[clusters] = sum(pairs)
+    assert work[80] < 6 * work[20] and work[80] < 0.1 * (80 * 24) ** 2, work
 
 
 def test_k_above_the_corpus(spark):
