@@ -14,8 +14,8 @@ Each task writes its range of doc_id as one shard, under a name of its own first
 attempt replaces a whole file by the same file. The index is a Parquet table of (shard, doc_id, n_tokens, offset,
 length). The folder must be reachable by pyarrow's file systems from every executor.
 
-A null text is an empty one and still has its end id. Rows with one doc_id are all kept, ordered by their texts. An
-empty table gives no records. Other columns are ignored.
+A null text is an empty one and still has its end id. Rows with one doc_id are all kept, ordered by their texts. A record
+needs a doc_id, so rows without one are left out. An empty table gives no records. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -39,6 +39,7 @@ END = 0
 MASK = 0xA282EAD8
 INDEX = "shard int, doc_id long, n_tokens long, offset long, length long"
 READ_BYTES = 1 << 20
+SHARD_BYTES = 1 << 28  # of text in a shard, about
 
 
 def masked(data: bytes) -> int:
@@ -103,7 +104,8 @@ def write(docs: DataFrame, folder: str, vocabulary: str | None = None) -> DataFr
         files.move(own, shard_path(root, shard))
 
     rows = id_and_text(docs).where("doc_id is not null").withColumn("_tie", F.xxhash64("text"))
-    ranged = rows.repartitionByRange(parts(docs), "doc_id", "_tie").sortWithinPartitions("doc_id", "_tie", "text").drop("_tie")
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ranged = rows.repartitionByRange(max(parts(docs), size // SHARD_BYTES), "doc_id", "_tie").sortWithinPartitions("doc_id", "_tie", "text").drop("_tie")
     ranged.mapInArrow(run, INDEX).write.parquet(f"{folder}/index")
     return spark.read.schema(INDEX).parquet(f"{folder}/index")
 

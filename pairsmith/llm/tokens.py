@@ -2,7 +2,8 @@
 
 A byte-level vocabulary splits a text before every blank that stands between two characters that are no white space.
 What lies between such blanks is encoded alone, its ids are remembered, and a text is the ids of its pieces in a row.
-The memory is bounded: it is emptied when it is full. Other vocabularies encode each text as one, and so do texts in
+The memory is bounded and has two generations: what is asked for is looked up in the young one, then in the old one, and
+when the young one is full it becomes the old one. So frequent pieces stay and rare ones go. Other vocabularies encode each text as one, and so do texts in
 which an added token of the vocabulary (such as its end mark) is spelt out: it gets its own id, as the library gives it.
 """
 
@@ -16,7 +17,7 @@ import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-REMEMBERED = 450_000
+REMEMBERED = 350_000  # entries of a generation
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
 _PLAIN = re.compile(rf"[!-~{_LETTERS}\n]+")
@@ -67,7 +68,9 @@ class Encoder:
         self.added = [t["content"] for t in added if not (spelt_out and t["special"])]
         self.names = _byte_names()
         self.pieces: dict[str, bytes] = {}
+        self.old_pieces: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
+        self.old_parts: dict[str, bytes] = {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -76,16 +79,17 @@ class Encoder:
         """Ids of a piece after a blank."""
         if not _PLAIN.fullmatch(piece):
             return self._whole([" " + piece])[0]
-        out = []
-        for part in _PARTS.findall(" " + piece):
-            ids = self.parts.get(part)
-            if ids is None:
-                if len(self.parts) >= REMEMBERED:
-                    self.parts.clear()
-                spelt = part.encode().decode("latin-1").translate(self.names)
-                ids = self.parts[part] = np.array([t.id for t in self.tokenizer.model.tokenize(spelt)], self.dtype).tobytes()
-            out.append(ids)
-        return b"".join(out)
+        return b"".join([self.parts.get(part) or self._part(part) for part in _PARTS.findall(" " + piece)])
+
+    def _part(self, part: str) -> bytes:
+        ids = self.old_parts.get(part)
+        if ids is None:
+            spelt = part.encode().decode("latin-1").translate(self.names)
+            ids = np.array([t.id for t in self.tokenizer.model.tokenize(spelt)], self.dtype).tobytes()
+        if len(self.parts) >= REMEMBERED:
+            self.parts, self.old_parts = {}, self.parts
+        self.parts[part] = ids
+        return ids
 
     def _text(self, text: str) -> bytes:
         if any(mark in text for mark in self.added):
@@ -98,11 +102,12 @@ class Encoder:
             return b"".join(self._whole([safe[0], *(" " + p for p in safe[1:])]))
         if missing:
             if len(known) + len(missing) > REMEMBERED:
-                known.clear()
-                missing = rest
+                self.pieces, self.old_pieces = {}, known
+                known, missing = self.pieces, rest
+            old = self.old_pieces
             for piece in missing:
                 if piece not in known:
-                    known[piece] = self._piece(piece)
+                    known[piece] = old.get(piece) or self._piece(piece)
         return self._whole([head])[0] + b"".join(map(known.__getitem__, rest))
 
     def encode(self, texts: list[str]) -> list[bytes]:
