@@ -14,8 +14,8 @@ for each block; so what is sent doesn't grow with the benchmark. Only a single i
 larger one.
 
 Words are runs of lower-cased letters, digits and non-ASCII characters. A null text has no words. Items of fewer than
-MIN_MATCH words never match. Repeated items are reported each by its item_id; rows with one doc_id give the best of
-their results. Rows without an id are left out. Empty tables give no rows. Other columns are ignored.
+MIN_MATCH words never match. Every text of a repeated item_id is searched, and every row of a repeated doc_id; a pair of
+ids gets the result of the best coverage. Rows of an equal item are searched once for each item_id. Rows without an id are left out. Empty tables give no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,6 +36,7 @@ MIN_MATCH = 4
 THRESHOLD = 0.6
 FIRST_LENGTH = 20
 BLOCK_WORDS = 1_000_000
+SPELT_OUT = 1 << 18  # (text, seed, item) at a time, or those of one text
 RESULT = "doc_id long, item_id long, matched long, item_words long, tiles long"
 
 
@@ -116,6 +117,15 @@ class Block:
         if not len(pairs):
             return []
         n = np.searchsorted(self.seed, self.seed[pairs[:, 1]], "right") - pairs[:, 1]
+        cut = np.append(np.flatnonzero(np.concatenate([[True], pairs[1:, 0] != pairs[:-1, 0]])), len(pairs))
+        ahead, out, i = np.concatenate([[0], np.cumsum(n)])[cut], [], 0
+        while i + 1 < len(cut):  # a seed of very many items is spelt out for a few texts at a time
+            j = max(i + 1, int(np.searchsorted(ahead, ahead[i] + SPELT_OUT, "right")) - 1)
+            out += self._covered(pairs[cut[i]:cut[j]], n[cut[i]:cut[j]])
+            i = j
+        return out
+
+    def _covered(self, pairs: np.ndarray, n: np.ndarray) -> list[tuple[int, int]]:
         row = np.repeat(np.arange(len(pairs)), n)
         entry = pairs[row, 1] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
         who, item, place = pairs[row, 0], self.item[entry], self.place[entry]
@@ -139,12 +149,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     blocks = max(1, -(-size // (6 * BLOCK_WORDS)))
     rows = id_and_text(docs).where("doc_id is not null and text is not null")
     found = [_with_block(rows, items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b)) for b in range(blocks)]
-    best = reduce(DataFrame.unionByName, found).groupBy("doc_id", "item_id").agg(F.max(F.struct("matched", "tiles", "item_words")).alias("m"))
+    best = reduce(DataFrame.unionByName, found).groupBy("doc_id", "item_id").agg(F.max(F.struct(F.col("matched") / F.col("item_words"), "matched", "tiles", "item_words")).alias("m"))
     return best.select("doc_id", "item_id", "m.matched", "m.item_words", "m.tiles", (F.col("m.matched") / F.col("m.item_words")).alias("coverage"))
 
 
 def _with_block(rows: DataFrame, items: DataFrame) -> DataFrame:
-    got = items.groupBy("item_id").agg(F.max("text").alias("text")).orderBy("item_id").toArrow()  # one block, see above
+    got = items.distinct().orderBy("item_id", "text").toArrow()  # one block, see above
     words = words_of(got["text"])
     shared = rows.sparkSession.sparkContext.broadcast((got["item_id"].to_numpy(), words.first, words.hashes))
 

@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import pyarrow as pa
 from pairsmith.llm import decontamination, fingerprints, jaccard_join, substring_dedup
 from pairsmith.llm.components import components
 from pyspark.sql import functions as F
@@ -208,3 +209,28 @@ def test_sketches_merge_and_contain(spark):
 
 def test_fingerprints_of_odd_rows(odd, nothing):
     assert fingerprints.with_next(odd).count() == odd.count() and fingerprints.with_next(nothing).count() == 0
+
+
+def test_leaks_equal_tiling_of_all_pairs(spark, given):
+    """Without seeds: every document is tiled with every item."""
+    items = {r.item_id: r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
+    hashes = lambda t: (lambda w: w.hashes)(decontamination.words_of(pa.array([t])))
+    docs, own = {k: hashes(t) for k, t in given.items()}, {k: hashes(t) for k, t in items.items()}
+    expected = {}
+    for d, text in docs.items():
+        for i, item in own.items():
+            laid = decontamination.tiles(item, text) if len(item) >= decontamination.MIN_MATCH else []
+            matched = sum(x[0] for x in laid)
+            if laid and matched >= decontamination.THRESHOLD * len(item):
+                expected[d, i] = (matched, len(item))
+    got = {(r.doc_id, r.item_id): (r.matched, r.item_words) for r in decontamination.op9_decontamination(spark, SF).collect()}
+    assert expected and got == expected
+
+
+def test_every_text_of_an_item_is_searched(spark, monkeypatch):
+    monkeypatch.setattr(decontamination, "SPELT_OUT", 5)
+    items = spark.createDataFrame([(7, "the quick brown fox jumps over the lazy dog"), (7, "an apple a day keeps the doctor away"), (8, "which of the following is not a fish")] +
+                                  [(100 + i, f"which of the following {i} is{i} a{i}") for i in range(50)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "so the quick brown fox jumps over the lazy dog ran"), (2, "an apple a day keeps the doctor away"), (3, "which of the following will you take"),
+                                  (4, "which of the following 3 is3 a3")], "doc_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontamination.leaks(docs, items).collect()} == {(1, 7), (2, 7), (4, 103)}
