@@ -8,7 +8,8 @@ with the highest corrected share is predicted. Equal shares go to the language w
 the first by name.
 
 N-grams are 3 and 4 code points of a lower-cased word with a blank before and after it, so none spans two words.
-A language holds an n-gram if at least ``MIN_TEXTS`` of its training texts do, at a rate of at least ``RATIO`` of
+A language holds an n-gram if at least ``MIN_TEXTS`` of its training texts do (half of them, or a single one, where it has
+few texts), at a rate of at least ``RATIO`` of
 the highest rate that any language has.
 
 Training texts are bounded: about ``TEXTS_PER_LANGUAGE`` a language, drawn by a hash of doc_id. Prediction reads
@@ -16,7 +17,7 @@ whole texts and nothing but the text.
 
 Null text, or one without a letter: ``und``, score 0. A text with letters but no known n-gram gets the language
 with most training texts, score 0. Without labelled texts everything is ``und``. Repeated rows are judged alike;
-other columns are ignored.
+other columns are ignored. Rows without a doc_id are not held out: they are judged, and are trained on like others.
 """
 
 from __future__ import annotations
@@ -167,9 +168,10 @@ def train(labelled: DataFrame) -> Model:
         taken = {r["k"]: r["count"] for r in drawn.groupBy("k").count().collect()}
         sizes = spark.createDataFrame([(k, v) for k, v in taken.items()], "k int, taken long")
         rated = grams.join(F.broadcast(sizes), "k").withColumn("rate", F.col("texts") / F.col("taken"))
-        top = rated.groupBy("gram").agg(F.max("rate").alias("top"), F.collect_list(F.struct("k", "rate", "texts")).alias("all"))
+        top = rated.groupBy("gram").agg(F.max("rate").alias("top"), F.collect_list(F.struct("k", "rate", "texts", "taken")).alias("all"))
+        least = F.greatest(F.lit(1), F.least(F.lit(MIN_TEXTS), F.floor(F.col("e.taken") / 2)))
         held = top.select("gram", "top", F.explode("all").alias("e")).where(
-            (F.col("e.rate") >= RATIO * F.col("top")) & (F.col("e.texts") >= MIN_TEXTS)).select("gram", F.col("e.k").alias("k"))
+            (F.col("e.rate") >= RATIO * F.col("top")) & (F.col("e.texts") >= least)).select("gram", F.col("e.k").alias("k"))
         slots = held.mapInArrow(_slot_rows, "slot long, word int, mask long").groupBy("slot", "word").agg(F.bit_or("mask").alias("mask"))
         got = slots.toArrow()  # at most SLOTS rows for every 64 languages
         if got.num_rows:
@@ -218,13 +220,15 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 def tagged(docs: DataFrame, model: Model) -> DataFrame:
     """Every row of ``docs`` as a struct ``row``, with lang_pred and score beside it; whole rows, no join."""
     shared = docs.sparkSession.sparkContext.broadcast((model.names, model.masks))
+    built: list[Model] = []  # by each task once
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(texts):
         import pandas as pd
 
-        own = Model(*shared.value)
-        names, score = own.predict([t if isinstance(t, str) else None for t in texts])
+        if not built:
+            built.append(Model(*shared.value))
+        names, score = built[0].predict([t if isinstance(t, str) else None for t in texts])
         return pd.DataFrame({"lang_pred": names, "score": score})
 
     row = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
@@ -232,7 +236,7 @@ def tagged(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def held_out() -> F.Column:
-    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
 def documents_model(spark: SparkSession, sf_dir: str) -> Model:

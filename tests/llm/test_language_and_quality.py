@@ -96,3 +96,17 @@ def test_shards_give_every_row_back(spark, odd, monkeypatch):
     one = got()
     monkeypatch.setattr(quality, "SHARD_ENTRIES", entries.count() // 3)
     assert got() == one and sum(one.values()) == docs.count() and max(one.values()) == 4
+
+
+def test_a_language_of_one_or_two_texts_is_learnt(spark):
+    russian = ["жук ползёт по траве к дому", "вечером мы пойдём в кино"]
+    for texts in (russian, russian[:1]):
+        rows = [(i, f"the thing and that word number {i} of it all", "en") for i in range(40)] + [(100 + i, t, "ru") for i, t in enumerate(texts)]
+        model = language_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+        names, score = model.predict(texts)
+        assert names == ["ru"] * len(texts) and min(score) > 0.9
+
+
+def test_rows_without_an_id_are_judged_and_not_held_out(spark):
+    rows = spark.createDataFrame([(None, "the thing"), (1, "the thing")], "doc_id long, text string")
+    assert [r.h for r in rows.select(language_id.held_out().alias("h")).collect()] == [False, False]
