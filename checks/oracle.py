@@ -237,6 +237,7 @@ SELECT id, 'about ' || CASE WHEN place < keeps THEN p_name ELSE other END AS for
 
     # Models
     sql["generate_chat"] = f"WITH {DOCS} SELECT id, '2:' || md5(text) AS output FROM docs"
+    sql["generate_resumed"] = sql["generate_chat"]
     sql["generate_base"] = """SELECT event_id AS id, length(event_type) || '@' ||
   CASE WHEN event_id % 3 = 0 THEN (event_id % 10)::VARCHAR ELSE '0.5' END AS output FROM events"""
     sql["merge_params"] = r"""SELECT event_id, coalesce(nullif(regexp_extract(props, '"k": ([0-9]+)', 1), ''), '5') AS k,

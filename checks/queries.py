@@ -11,7 +11,7 @@ from pairsmith.functions.template import render_row
 from pairsmith.operators import approximate, neighbours
 from pairsmith.operators.collect import collect_ideas, collect_json, distinct_ideas, read_list
 from pairsmith.operators.model_map import (EmbeddingConfig, GenerationConfig, chat_messages, embed, generate,
-                                           merge_params)
+                                           generate_resumable, merge_params)
 from pairsmith.operators.negatives import HardNegativeConfig, hard_negatives, pick_negatives
 from pairsmith.operators.ordering import dense_index
 from pairsmith.operators.sampling import constraint_filter, draw_indices, draw_values
@@ -119,6 +119,14 @@ def generate_chat(spark, sf_dir):
     return generate(documents(spark, sf_dir).select("id", "text"), config, text="text").select("id", "output")
 
 
+def generate_resumed(spark, sf_dir):
+    """A journal holds the replies to English documents already; the rest is asked for now."""
+    docs, journal = documents(spark, sf_dir).select("id", "text", "lang"), new_path(spark, "journal")
+    config = GenerationConfig("echo_chat", default_system_prompt=presets.SYSTEM_PROMPT, batch_size=32, concurrency=8)
+    generate_resumable(docs.where("lang = 'en'"), config, journal, text="text")
+    return generate_resumable(docs, config, journal, text="text").select("id", "output")
+
+
 def generate_base(spark, sf_dir):
     rows = table(spark, sf_dir, "events", F.col("event_id").alias("id"), F.col("event_type").alias("text"),
                  F.create_map(F.lit("temperature"), (F.col("event_id") % 10).cast("string")).alias("own"))
@@ -499,6 +507,7 @@ def queries() -> dict:
         "brainstorm_prompts": brainstorm_prompts,
         "render_prompt": render_prompt,
         "generate_chat": generate_chat,
+        "generate_resumed": generate_resumed,
         "generate_base": generate_base,
         "merge_params": merged_params,
         "chat_messages": chat_prompts,

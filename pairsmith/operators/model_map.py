@@ -1,7 +1,11 @@
 """Batch maps through models that the caller supplies: text generation and embedding.
 
-A model is named in a registry and built once per task. Rows keep all their columns and their
+A model is named in a registry and built once per worker process. Rows keep all their columns and their
 ``id``; nothing depends on row order.
+
+``concurrency`` bounds how many models run at once over the whole cluster. It leaves the partitions as they are: a task that
+runs a model asks for as many cores as keep other such tasks off (stage-level scheduling), so other stages use all
+cores. A session in one process has no such scheduling; there the table is read in so many longer tasks.
 """
 
 from __future__ import annotations
@@ -15,12 +19,13 @@ from typing import Any
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
+from pyspark.resource import ResourceProfileBuilder, TaskResourceRequests
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pairsmith.functions.kernels import check_pooling, normalise_batch, pool_batch
-from pairsmith.session import spread
+from pairsmith.session import exists, spread
 
 # A generator maps prompts and their sampling parameters to replies; a prompt is a list of chat
 # messages or a plain text. An embedder maps texts to vectors [n, d], or to token vectors
@@ -90,9 +95,21 @@ def chat_messages(text: Column, system_prompt: str | None = None) -> Column:
     return F.array(user) if system_prompt is None else F.array(message("system", F.lit(system_prompt)), user)
 
 
-def _spread(df: DataFrame, concurrency: int | None) -> DataFrame:
-    """Split over ``concurrency`` tasks by id, or over all cores if the table has too few splits."""
-    return df.repartition(concurrency, "id") if concurrency else spread(df)
+def cores_of_a_task(concurrency: int, cores: int, cores_of_an_executor: int) -> int:
+    """Cores that a task has to ask for so that at most ``concurrency`` of them run, or one on each executor."""
+    executors = max(1, cores // cores_of_an_executor)
+    return cores_of_an_executor // max(1, min(cores_of_an_executor, concurrency // executors))
+
+
+def _map(df: DataFrame, run: Callable, schema: T.StructType, concurrency: int | None) -> DataFrame:
+    context = df.sparkSession.sparkContext
+    if not concurrency or concurrency >= context.defaultParallelism:
+        return df.mapInArrow(run, schema)
+    if context.master.split("[")[0] == "local":
+        return df.coalesce(concurrency).mapInArrow(run, schema)
+    per_executor = int(context.getConf().get("spark.executor.cores", "1")) if not context.master.startswith("local-cluster") else int(context.master.split(",")[1])
+    needed = TaskResourceRequests().cpus(cores_of_a_task(concurrency, context.defaultParallelism, per_executor))
+    return df.mapInArrow(run, schema, profile=ResourceProfileBuilder().require(needed).build)
 
 
 def _chunks(length: int, size: int | None) -> Iterator[slice]:
@@ -129,7 +146,7 @@ def generate(df: DataFrame, config: GenerationConfig, text: str = "formatted_pro
     row_params = F.col(sampling_params) if sampling_params else None
     prompt = chat_messages(F.col(text), config.default_system_prompt) if chat else F.col(text)
     keep = df.columns
-    ready = _spread(df, config.concurrency).select(
+    ready = spread(df).select(
         *keep, prompt.alias("_prompt"), merge_params(row_params, config.default_sampling_params).alias("_params")
     )
 
@@ -148,7 +165,24 @@ def generate(df: DataFrame, config: GenerationConfig, text: str = "formatted_pro
             yield pa.RecordBatch.from_arrays(columns, names=[*keep, output])
 
     schema = T.StructType([*df.schema.fields, T.StructField(output, T.StringType())])
-    return ready.mapInArrow(run, schema)
+    return _map(ready, run, schema, config.concurrency)
+
+
+def generate_resumable(df: DataFrame, config: GenerationConfig, journal: str, text: str = "formatted_prompt",
+                       sampling_params: str | None = None, output: str = "output", pieces: int | None = None) -> DataFrame:
+    """``generate`` for a table with a unique ``id``, keeping what is done when it fails.
+
+    The replies of a partition are moved to the folder ``journal`` as soon as its task ends, and stay there if the job
+    fails later. A second call with the same journal asks the model for the open ids only, and returns the whole table.
+    ``pieces``: the number of partitions, and so how much a failure may lose. The journal must be on a file system with
+    renames. A task that is repeated after it has ended may leave rows twice; an id counts once.
+    """
+    spark = df.sparkSession
+    schema = T.StructType([*df.schema.fields, T.StructField(output, T.StringType())])
+    todo = df.join(spark.read.schema(schema).parquet(journal).select("id"), "id", "left_anti").select(*df.columns) if exists(spark, journal) else df
+    found = generate(todo.repartition(pieces, "id") if pieces else todo, config, text, sampling_params, output)
+    found.write.mode("append").option("mapreduce.fileoutputcommitter.algorithm.version", "2").parquet(journal)
+    return spark.read.schema(schema).parquet(journal).dropDuplicates(["id"])
 
 
 def embed(df: DataFrame, config: EmbeddingConfig, texts: dict[str, str], keep: list[str] | None = None) -> DataFrame:
@@ -163,7 +197,7 @@ def embed(df: DataFrame, config: EmbeddingConfig, texts: dict[str, str], keep: l
     batch_size, normalize = config.batch_size, config.normalize
     keep = df.columns if keep is None else keep
     pairs = list(texts.items())
-    ready = _spread(df, config.concurrency).select(*keep, *[F.col(t).alias(f"_text{i}") for i, (t, _) in enumerate(pairs)])
+    ready = spread(df).select(*keep, *[F.col(t).alias(f"_text{i}") for i, (t, _) in enumerate(pairs)])
 
     def to_vectors(model: Embedder, words: list[str]) -> pa.Array:
         blocks = []
@@ -190,4 +224,4 @@ def embed(df: DataFrame, config: EmbeddingConfig, texts: dict[str, str], keep: l
 
     vector = T.ArrayType(T.FloatType())
     schema = T.StructType([*[df.schema[c] for c in keep], *[T.StructField(v, vector) for _, v in pairs]])
-    return ready.mapInArrow(run, schema)
+    return _map(ready, run, schema, config.concurrency)

@@ -67,6 +67,11 @@ def spread(df: DataFrame, key: str = "id") -> DataFrame:
     return df.repartition(cores, key) if execution.toRdd().getNumPartitions() < cores else df
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Delete, at the end, the tables that ``materialise`` writes inside this block, and no others.

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pairsmith.functions.binding import let
-from pairsmith.operators.ordering import dense_index
 
 FORMATS = ("csv", "json", "jsonl")
 
@@ -66,19 +65,17 @@ def write_json_array(df: DataFrame, path: str, order_by: list[str] | None = None
     """One JSON array over all part files: joined in name order, they are valid JSON.
 
     Each row is a line, with the bracket or comma before it, so no task holds the whole list and
-    ``read_value_list`` can split it again.
+    ``read_value_list`` can split it again. Rows are sorted and written once. A row that sorts behind all others is the
+    closing bracket. The opening one stands before the first row of the first partition; a range sort leaves that
+    partition empty only if there are no rows, since its upper bound is the key of one of them.
     """
     order_by = order_by or [f.name for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    rows = df.select(_element(df).alias("_element"), *order_by)
-    order = [F.col(c) for c in order_by] or [F.col("_element")]
-    numbered, total = dense_index(rows, order, name="_idx", label="array")
-    if total == 0:
-        df.sparkSession.range(1).select(F.lit("[]").alias("value")).write.mode(mode).text(path)
-        return
-    opening = F.when(F.col("_idx") == 0, "[").otherwise(",")
-    closing = F.when(F.col("_idx") == total - 1, "]").otherwise("")
-    lines = numbered.select(F.concat(opening, "_element", closing).alias("value"), "_idx")
-    lines.orderBy("_idx").select("value").write.mode(mode).text(path)
+    rows = df.select(F.lit(False).alias("_end"), _element(df).alias("_element"), *order_by)
+    end = df.sparkSession.range(0, 1, 1, 1).select(F.lit(True).alias("_end"), F.lit("").alias("_element"), *[F.lit(None).cast(df.schema[c].dataType).alias(c) for c in order_by])
+    order = ["_end", *(order_by or ["_element"])]
+    ordered = rows.unionByName(end).orderBy(*order).withColumn("_place", F.monotonically_increasing_id())
+    before = F.when(F.col("_place") == 0, "[").when(~F.col("_end"), ",").otherwise("")
+    ordered.select(F.concat(before, "_element", F.when(F.col("_end"), "]").otherwise("")).alias("value")).write.mode(mode).text(path)
 
 
 def write_table(df: DataFrame, path: str, output_format: str, mode: str = "overwrite",

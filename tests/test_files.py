@@ -121,3 +121,41 @@ def test_table_of_json_values(spark, tmp_path):
     assert sorted(json.dumps(v, separators=(",", ":")) for v in json.loads(joined_parts(path))) == expected
     write_table(values, path, "csv")
     assert {r.parsed for r in read_csv(spark, path, "parsed string").collect()} == set(expected)
+
+
+def test_an_array_on_one_line_is_read_in_splits(spark, tmp_path):
+    """As the line form is, wherever the splits fall."""
+    import json
+    import random
+
+    from pairsmith.sources.value_list import read_value_list
+
+    rng = random.Random(2)
+    values = ["".join(rng.choice('a,"\\\\é[]{} \\n') for _ in range(rng.randint(0, 12))) for _ in range(300)] + [5, 1.5, True, None, "true", "x" * 900]
+    rng.shuffle(values)
+    expected = [{True: "True", None: "None"}.get(v, str(v)) if not isinstance(v, str) else v for v in values]
+    for name, separators, ascii_only in (("a", (",", ":"), True), ("b", (", ", ": "), False)):
+        (tmp_path / f"{name}.json").write_text(json.dumps(values, separators=separators, ensure_ascii=ascii_only), encoding="utf-8")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200")
+    try:
+        for name in "ab":
+            assert spark.read.option("lineSep", ",").text(str(tmp_path / f"{name}.json")).rdd.getNumPartitions() > 4
+            found = read_value_list(spark, str(tmp_path / f"{name}.json"))
+            assert len(found) == len(values) and [r.value for r in found.df.orderBy("idx").collect()] == expected
+        (tmp_path / "lines.json").write_text(json.dumps(values, indent=1), encoding="utf-8")
+        found = read_value_list(spark, str(tmp_path / "lines.json"))
+        assert len(found) == len(values) and [r.value for r in found.df.orderBy("idx").collect()] == expected
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_an_array_is_sorted_and_written_once(spark, tmp_path):
+    import json
+
+    from pairsmith.sources.files import write_json_array
+
+    for n in (0, 1, 2, 5000):
+        path = tmp_path / f"n{n}"
+        write_json_array(spark.range(n).selectExpr("cast(id % 17 as string) as a", "id").repartition(5), str(path), order_by=["id"])
+        text = "\n".join(p.read_text() for p in sorted(path.glob("part-*")))
+        assert [r["id"] for r in json.loads(text)] == list(range(n))

@@ -4,8 +4,8 @@ from pyspark.sql import functions as F
 
 import checks.stand_ins  # noqa: F401
 from pairsmith.functions import vectors
-from pairsmith.operators.model_map import (EmbeddingConfig, GenerationConfig, chat_messages, embed, generate, merge_params,
-                                           register_embedder, register_generator)
+from pairsmith.operators.model_map import (EmbeddingConfig, GenerationConfig, chat_messages, embed, generate, generate_resumable,
+                                           merge_params, register_embedder, register_generator)
 
 
 def test_registries_refuse_unknown_names(spark):
@@ -84,3 +84,48 @@ def test_vector_columns(spark):
     df = spark.createDataFrame([([3.0, 4.0],), ([0.0, 0.0],)], "v array<float>")
     assert [r[0] for r in df.select(vectors.l2_normalise(F.col("v"))).collect()] == [[0.6, 0.8], [0.0, 0.0]]
     assert df.select(vectors.truncate_tokens(F.col("v"), 1)).first()[0] == [3.0]
+
+
+def test_concurrency_leaves_the_partitions_alone(spark):
+    from pairsmith.operators.model_map import cores_of_a_task
+
+    register_generator("same", lambda options: lambda prompts, params: ["x"] * len(prompts), chat=False)
+    rows = spark.range(100).withColumn("text", F.lit("t")).repartition(23, "id")
+    counted = lambda n: generate(rows, GenerationConfig("same", concurrency=n), text="text").rdd.getNumPartitions()
+    assert counted(None) == counted(8) == counted(50) == 23 and counted(2) == 2
+    # 1,000 executors of 8 cores: 8,000 at once, 4,000, 1,000, and one on each executor at least
+    assert [cores_of_a_task(n, 8000, 8) for n in (8000, 4000, 1000, 10)] == [1, 2, 8, 8]
+    assert cores_of_a_task(3, 4, 4) == 1 and cores_of_a_task(2, 4, 4) == 2 and cores_of_a_task(1, 4, 4) == 4
+
+
+def test_a_failed_run_goes_on_where_it_stopped(spark, tmp_path):
+    asked, stop, journal = tmp_path / "asked", tmp_path / "stop", str(tmp_path / "journal")
+    asked.mkdir()
+    stop.write_text("")
+
+    def factory(options):
+        import pathlib
+        import uuid
+
+        def model(prompts, params):
+            if "id 57" in prompts and pathlib.Path(options["stop"]).exists():
+                import time
+                time.sleep(3)  # others end meanwhile
+                raise RuntimeError("out of memory")
+            (pathlib.Path(options["asked"]) / uuid.uuid4().hex).write_text("\n".join(prompts))
+            return [p.upper() for p in prompts]
+        return model
+
+    register_generator("failing", factory, chat=False)
+    config = GenerationConfig("failing", {"asked": str(asked), "stop": str(stop)})
+    rows = spark.range(200).withColumn("formatted_prompt", F.concat(F.lit("id "), "id"))
+    calls = lambda: [line for f in asked.iterdir() for line in f.read_text().split("\n")]
+    with pytest.raises(Exception, match="out of memory"):
+        generate_resumable(rows, config, journal, pieces=40)
+    first = set(calls())
+    stop.unlink()
+    got = {r.id: r.output for r in generate_resumable(rows, config, journal, pieces=40).collect()}
+    assert got == {i: f"ID {i}" for i in range(200)}
+    second = calls()
+    assert len(first) > 20 and 200 <= len(second) < 200 + 60  # only what was not committed is asked again
+    assert generate_resumable(rows, config, journal).count() == 200 and len(calls()) == len(second)
