@@ -99,16 +99,33 @@ def _some(corpus: DataFrame, count: int, rows: int, tag: str) -> DataFrame:
 
 
 def _pivots(corpus: DataFrame, count: int, rows: int) -> np.ndarray:
-    """A repeatable choice of up to ``count`` distinct unit vectors, at least one: of four times as many candidates each
-    time the one farthest from those chosen, so that no cluster among them is left without a pivot."""
+    """A repeatable choice of up to ``count`` distinct unit vectors, at least one, well spaced among four times as many."""
     order = [F.xxhash64("vector"), F.col("vector")]
     picked = _some(corpus, 4 * count, rows, "pivot").orderBy(*order).limit(4 * count).collect() or corpus.select("vector").orderBy(*order).limit(1).collect()
     unit, _ = _unit(np.array([r["vector"] for r in picked], dtype=np.float64).reshape(len(picked), -1))
+    return unit[_spaced(unit, count)]
+
+
+def _spaced(unit: np.ndarray, count: int) -> list[int]:
+    """Up to ``count`` rows, each the farthest from those before it, so that no cluster is left without one."""
     chosen, nearest = [0], unit @ unit[0]
     while len(chosen) < min(count, len(unit)):
         chosen.append(int(nearest.argmin()))
         nearest = np.maximum(nearest, unit @ unit[chosen[-1]])
-    return unit[chosen]
+    return chosen
+
+
+def _spaced_by_group(candidates: DataFrame) -> DataFrame:
+    """A quarter of the candidates (vector, upper) of each upper group, well spaced; large groups in pieces."""
+    sizes = candidates.groupBy("upper").agg(F.ceil(F.count(F.lit(1)) / F.lit(4 * TILE_ROWS)).cast("int").alias("n"))
+    parted = _hashed(candidates.join(F.broadcast(sizes), "upper")).withColumn("piece", F.pmod("hash", F.col("n")).cast("int")).select("vector", "upper", "hash", "piece")
+
+    def pick(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("hash")
+        unit, _ = _unit(_matrix(rows.column("vector")))
+        return rows.take(pa.array(_spaced(unit, math.ceil(len(unit) / 4)))).select(["vector", "upper"])
+
+    return parted.groupBy("upper", "piece").applyInArrow(pick, "vector array<float>, upper int")
 
 
 def _assign(df: DataFrame, pivots: np.ndarray) -> DataFrame:
@@ -309,7 +326,8 @@ class _TwoLevels:
     def __init__(self, corpus: DataFrame, docs: DataFrame, cells: int, rows: int):
         self.pivots = _pivots(corpus, math.ceil(math.sqrt(cells)), rows)
         upper = materialise(_assign(docs, self.pivots), "corpus-upper")
-        lower = _assign(_some(corpus, cells, rows, "lower"), self.pivots).select("vector", F.col("cell").alias("upper"))
+        candidates = _assign(_some(corpus, 4 * cells, rows, "lower"), self.pivots).select("vector", F.col("cell").alias("upper"))
+        lower = _spaced_by_group(materialise(candidates, "lower-candidates"))
         heads = corpus.sparkSession.createDataFrame([(-1 - i, [float(x) for x in v], i) for i, v in enumerate(self.pivots)], "low long, vector array<float>, upper int")
         low = materialise(lower.select(F.monotonically_increasing_id().alias("low"), "vector", "upper").unionByName(heads), "lower-pivots")
         # Each vector goes to the nearest of one piece of the lower pivots of its group.
