@@ -1,6 +1,8 @@
+import textwrap
+
 import compare
 import pytest
-from pairsmith.llm import license_scan, line_dedup
+from pairsmith.llm import licences, license_scan, line_dedup
 
 SF = "/root/testdata/sf0.001"
 
@@ -30,3 +32,50 @@ def test_best_template_of_a_line(spark):
                                   (3, "This work is licensed under the GNU General Public License, version 2.")], "doc_id long, text string")
     got = {(r.doc_id, r.license): (r.dice, r.line) for r in license_scan.scan(docs).collect()}
     assert got == {(1, "MIT"): (1.0, 1), (3, "GPL-2.0"): (1.0, 0)}
+
+
+def licences_of(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {}
+    for r in license_scan.scan(docs).collect():
+        found.setdefault(r.doc_id, {})[r.license] = (round(r.dice, 3), r.line, r.word)
+    return [found.get(i, {}) for i in range(len(texts))]
+
+
+def test_whole_texts_headers_and_tags(spark):
+    whole = [t for _, t in licences.TEXTS]
+    got = licences_of(spark, whole + ["prose before it " + textwrap.fill(t, 60) + " prose after it" for t in whole])
+    for (name, text), alone, inside in zip(licences.TEXTS * 2, got, got[len(whole):]):
+        assert alone[name][:2] == (1.0, 0 if "\n" not in text else -1)
+        assert inside[name] == (1.0, None, 3)
+    assert licences_of(spark, ["// SPDX-License-Identifier: GPL-2.0-or-later\nint x;", "This project is licensed under the MIT License.", "the license of this project"]) \
+        == [{"GPL-2.0": (1.0, 0, None)}, {"MIT": (1.0, 0, None)}, {}]
+
+
+def test_wrapped_and_changed_notices(spark):
+    bsd = "governed by a BSD-style\nlicense that can be found in the LICENSE file."
+    mit = dict(licences.TEXTS)["MIT"].replace("associated documentation", "all of the documentation").replace("AUTHORS", "REGENTS")
+    got = licences_of(spark, ["words of prose use of this source code is " + bsd + " more prose", "A title\n" + mit, mit[:len(mit) // 4]])
+    assert got[0] == {"BSD-3-Clause": (1.0, None, 3)}
+    assert list(got[1]) == ["MIT"] and got[1]["MIT"][0] > 0.9
+    assert got[2] == {}
+
+
+def test_the_most_like_of_overlapping_windows_counts(spark):
+    gpl = "This work is licensed under the GNU General Public License, version {}."
+    got = licences_of(spark, ["some words " + gpl.format(2) + " then others", "some words " + gpl.format(3) + " and " + gpl.format(2) + " too"])
+    assert {k: v[0] for k, v in got[0].items()} == {"GPL-2.0": 1.0}
+    assert {k: v[0] for k, v in got[1].items()} == {"GPL-2.0": 1.0, "GPL-3.0": 1.0}
+
+
+def test_texts_without_an_id_are_documents_of_their_own(spark):
+    line = "Released under the MIT License."
+    docs = spark.createDataFrame([(None, f"a\n{line}"), (None, f"b\nc\n{line}"), (None, f"a\n{line}"), (1, "x"), (1, line)], "doc_id long, text string")
+    got = sorted(((r.doc_id or 0, r.license, r.line) for r in license_scan.scan(docs).collect()))
+    assert got == [(0, "MIT", 1), (0, "MIT", 2), (1, "MIT", 0)]
+
+
+def test_many_notices_in_one_long_text(spark):
+    notice = "This work is licensed under the GNU General Public License, version 3."
+    got = licences_of(spark, [" filler words ".join([notice] * 3000)])
+    assert got == [{"GPL-3.0": (1.0, None, 0)}]
