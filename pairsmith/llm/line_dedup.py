@@ -20,6 +20,7 @@ from pairsmith.functions.binding import let
 from pairsmith.llm.tables import table
 
 WINDOW = 3
+PIECES = 4096  # a window's occurrences are dealt over so many pieces at most, so that a frequent one is no single task
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -40,12 +41,15 @@ def windows(keyed: DataFrame) -> DataFrame:
 
 def covered(keyed: DataFrame) -> DataFrame:
     """id, text_hash and the merged spans (from, to) of lines to remove, in order."""
-    every = windows(keyed)
-    first = every.groupBy("a", "b").agg(F.min(F.struct("id", "text_hash", "pos")).alias("first"), F.count("*").alias("n")) \
-        .where("n > 1").select("a", "b", "first")
     own = F.struct("id", "text_hash", "pos")
+    every = windows(keyed).withColumn("piece", F.pmod(F.xxhash64("id", "text_hash", "pos"), F.lit(PIECES)).cast("int"))
+    # A row for each piece of a window, with the first of all its pieces: at most PIECES rows meet.
+    pieces = every.groupBy("a", "b", "piece").agg(F.min(own).alias("least"), F.count("*").alias("n"))
+    whole = Window.partitionBy("a", "b")
+    first = pieces.select("a", "b", "piece", F.min("least").over(whole).alias("first"), F.sum("n").over(whole).alias("n")) \
+        .where("n > 1").select("a", "b", "piece", "first")
     same = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("text_hash") == F.col("first.text_hash"))
-    later = every.join(first, ["a", "b"]).where(~own.eqNullSafe(F.col("first"))).select(
+    later = every.join(first, ["a", "b", "piece"]).where(~own.eqNullSafe(F.col("first"))).select(
         "id", "text_hash", F.when(same, F.greatest(F.col("pos"), F.col("first.pos") + WINDOW)).otherwise(F.col("pos")).alias("from"),
         (F.col("pos") + WINDOW - 1).alias("to")).where("from <= to")
     order = Window.partitionBy("id", "text_hash").orderBy("from", "to")

@@ -18,6 +18,16 @@ def test_later_windows_go_and_the_first_stays(spark):
     assert got == {1: "a\nb\nc\nd", 2: "x\ny", 3: "q\nq\nq", 4: "a\nb", 5: ""}
 
 
+def test_a_frequent_window_is_dealt_over_pieces(spark, monkeypatch):
+    texts = ["same\nlines\nhere"] * 40 + [f"own {i}\nsame\nlines\nhere\nrest {i}" for i in range(40)] + ["r\n" * 50 + "r"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    for pieces in (1, 3, line_dedup.PIECES):
+        monkeypatch.setattr(line_dedup, "PIECES", pieces)
+        got = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs).collect()}
+        assert got[0] == texts[0] and set(got[i] for i in range(1, 40)) == {""}
+        assert all(got[40 + i] == f"own {i}\nrest {i}" for i in range(40)) and got[80] == "r\nr\nr"
+
+
 def test_odd_rows(odd, nothing):
     out = line_dedup.dedup_lines(odd)
     assert out.columns == odd.columns and out.count() == odd.count()
