@@ -148,10 +148,10 @@ def _undisputed(finds: DataFrame, longest: int) -> DataFrame:
     """Finds without the windows whose middle word a window of another licence covers better.
 
     Windows meet in cells of as many words as the longest template has, so what meets depends on the templates, not on
-    the length of a text."""
-    lines = finds.where("begin is null").select("doc_id", "text_hash", "license", "dice", "at")
-    cell = F.explode(F.sequence(F.floor(F.col("begin") / longest), F.floor((F.col("end") - 1) / longest)))
-    cells = finds.where("begin is not null").withColumn("cell", cell).groupBy("doc_id", "text_hash", "cell") \
+    the length of a text. Cells of windows are numbered down from 0; a line has a cell of its own above."""
+    cell = F.when(F.col("begin").isNull(), F.array(F.col("at") - WINDOWS)) \
+        .otherwise(F.sequence(-F.floor(F.col("begin") / longest), -F.floor((F.col("end") - 1) / longest)))
+    cells = finds.withColumn("cell", F.explode(cell)).groupBy("doc_id", "text_hash", "cell") \
         .agg(F.collect_set(F.struct("license", "dice", "at", "begin", "end")).alias("near"))
 
     def middle(f: Column) -> Column:
@@ -161,9 +161,10 @@ def _undisputed(finds: DataFrame, longest: int) -> DataFrame:
         better = (b["dice"] > a["dice"]) | ((b["dice"] == a["dice"]) & (b["license"] < a["license"]))
         return (b["license"] != a["license"]) & better & (b["begin"] <= middle(a)) & (middle(a) < b["end"])
 
-    left = F.filter("near", lambda a: (F.floor(middle(a) / longest) == F.col("cell")) & ~F.exists("near", lambda b: beats(b, a)))
-    windows = cells.select("doc_id", "text_hash", F.explode(left).alias("f"))
-    return lines.unionByName(windows.select("doc_id", "text_hash", "f.license", "f.dice", "f.at"))
+    def stays(a: Column) -> Column:
+        return a["begin"].isNull() | ((-F.floor(middle(a) / longest) == F.col("cell")) & ~F.exists("near", lambda b: beats(b, a)))
+
+    return cells.select("doc_id", "text_hash", F.explode(F.filter("near", stays)).alias("f")).select("doc_id", "text_hash", "f.license", "f.dice", "f.at")
 
 
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
