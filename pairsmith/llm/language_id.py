@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairsmith.llm.tables import id_and_text, table
+from pairsmith.llm.tables import bounded_batches, id_and_text, table
 from pairsmith.llm.text import mix, slices
 
 TEXTS_PER_LANGUAGE = 2000
@@ -219,6 +219,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
 def tagged(docs: DataFrame, model: Model) -> DataFrame:
     """Every row of ``docs`` as a struct ``row``, with lang_pred and score beside it; whole rows, no join."""
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast((model.names, model.masks))
     built: list[Model] = []  # by each task once
 
