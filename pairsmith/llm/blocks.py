@@ -7,14 +7,12 @@ second bytes, ...), which lets Spark's shuffle compression drop the many zero by
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BITMAP_BITS = 1 << 25  # 4 MB, whatever the size of the data
+BITMAP_BITS = 1 << 25  # half a million words, whatever the size of the data
 
 
 def planes(values: np.ndarray) -> bytes:
@@ -49,24 +47,12 @@ def shard_count(rows: int, per_shard: int) -> int:
     return max(256, 1 << max(0, (rows // per_shard).bit_length()))
 
 
-def _bit(column: F.Column) -> F.Column:
-    return F.pmod(F.xxhash64(column), F.lit(BITMAP_BITS))
-
-
 def only_some(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose doc_id may be among ``ids`` (others may stay as well), found without a shuffle of
-    ``docs``: a bitmap of hashed ids of fixed size. It saves work before a join and decides nothing."""
-    spark = docs.sparkSession
-    bit = _bit(F.col("doc_id"))
-    words = ids.select(F.floor(bit / 64).cast("int").alias("word"), (bit % 64).cast("int").alias("bit")) \
-        .groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")).toArrow()
-    bitmap = np.zeros(BITMAP_BITS // 64, np.int64)
-    bitmap[words["word"].to_numpy()] = words["bits"].to_numpy()
-    shared = spark.sparkContext.broadcast(bitmap)
-
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.column("_bit").to_numpy()
-            yield batch.filter(pa.array((shared.value[at // 64] >> (at % 64)) & 1 == 1)).drop_columns(["_bit"])
-
-    return docs.withColumn("_bit", bit).where("_bit is not null").mapInArrow(pick, docs.schema)
+    ``docs``: a bitmap of hashed ids, in words of 64 bits. It saves work before a join and decides nothing."""
+    bit = F.pmod(F.xxhash64("doc_id"), F.lit(BITMAP_BITS))
+    bitmap = ids.select(F.floor(bit / 64).cast("int").alias("_word"), (bit % 64).cast("int").alias("_bit")) \
+        .groupBy("_word").agg(F.bit_or(F.expr("shiftleft(1L, _bit)")).alias("_bits"))
+    # A word is one row, so no more than BITMAP_BITS / 64 rows are broadcast, whatever the number of ids.
+    near = docs.join(F.broadcast(bitmap), F.floor(bit / 64).cast("int") == F.col("_word"))
+    return near.where(F.getbit("_bits", (bit % 64).cast("int")) == 1).select(docs.columns)
