@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pairsmith.llm.blocks import deal, joined, only_some, planes, shard_count, unplanes
@@ -45,6 +45,7 @@ TOKENS_PER_TASK_STEP = 600_000  # tokens of a task's documents that are looked a
 FREQUENT = 64          # a token is put last from so many documents on, as far as they were seen together
 MOST_FREQUENT = 1 << 20  # tokens put last at most (8 MB); others stay in their place, which is as exact
 BLOCK = 256
+PIECES = 512  # the rows of a set or token that very many documents share are dealt over so many pieces
 LEADERS = (0, -1)  # the least and the greatest doc_id of a token's documents lead
 
 
@@ -211,12 +212,25 @@ def compared(docs: DataFrame, queries: DataFrame, members: DataFrame) -> DataFra
     return ordered.select("key", "qb", "mb", "role", "doc", "tokens").mapInArrow(compare, "a long, b long")
 
 
+def with_least(rows: DataFrame, key: list[str], least: dict[str, F.Column], deal_by: str) -> DataFrame:
+    """``rows`` with the least value that each expression has among all rows of the same key.
+
+    The rows of a key are dealt over ``PIECES``, each piece gives one row to the search for the least, and the answer
+    is joined to the pieces, so a key that a third of all rows hold is no single task.
+    """
+    dealt = rows.withColumn("_piece", F.pmod(F.xxhash64(deal_by), F.lit(PIECES)).cast("int"))
+    pieces = dealt.groupBy(*key, "_piece").agg(*[F.min(c).alias(name) for name, c in least.items()])
+    whole = Window.partitionBy(*key)  # PIECES rows at most
+    answer = pieces.select(*key, "_piece", *[F.min(name).over(whole).alias(name) for name in least])
+    return dealt.join(answer, [*key, "_piece"]).drop("_piece")
+
+
 def _led(shared: DataFrame) -> DataFrame:
     """(key, doc): documents and the leaders among those that share tokens with them, where they share enough."""
     order = [F.col("doc").bitwiseXOR(F.lit(x)) for x in LEADERS]  # one to one, so the least value tells its document
-    leaders = shared.groupBy("token").agg(*[F.min(o).alias(f"l{k}") for k, o in enumerate(order)])
+    leaders = with_least(shared, ["token"], {f"l{k}": o for k, o in enumerate(order)}, "doc")
     who = F.array_distinct(F.array(*[F.col(f"l{k}").bitwiseXOR(F.lit(x)) for k, x in enumerate(LEADERS)]))
-    pairs = shared.join(leaders, "token").select("doc", "n", F.explode(who).alias("key")).where("key <> doc") \
+    pairs = leaders.select("doc", "n", F.explode(who).alias("key")).where("key <> doc") \
         .groupBy("key", "doc").agg(F.count("*").alias("c"), F.first("n").alias("n"))
     # Sharing a third of the first tokens is a hint to compare; pairs left out here are the matrix's to find.
     return written(pairs.where(F.col("c") * 12 >= F.col("n")).select("key", "doc"), "led")
@@ -244,8 +258,8 @@ def _shared(docs: DataFrame, named: DataFrame) -> DataFrame:
 def _named(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and the least doc_id with an equal set."""
     sets = written(signatures(docs), "signatures")
-    classes = sets.where("n_shingles > 0").groupBy("a", "b", "n_shingles").agg(F.min("doc_id").alias("rep"))
-    return written(sets.join(classes, ["a", "b", "n_shingles"], "left").select("doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("rep")), "classes")
+    rep = F.when(F.col("n_shingles") > 0, F.col("rep")).otherwise(F.col("doc_id"))
+    return written(with_least(sets, ["a", "b", "n_shingles"], {"rep": F.col("doc_id")}, "doc_id").select("doc_id", "n_shingles", rep.alias("rep")), "classes")
 
 
 def _grouped(shared: DataFrame, groups: DataFrame) -> DataFrame:

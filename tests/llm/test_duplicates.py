@@ -101,6 +101,20 @@ def test_jaccard_join_of_near_copies(spark, near, monkeypatch, frequent, most, l
     assert as_dict(jaccard_join.near_duplicates(docs)) == brute_components(texts)
 
 
+@pytest.mark.parametrize("pieces", [1, 7, 512])
+def test_least_of_a_key_over_pieces(spark, monkeypatch, pieces):
+    monkeypatch.setattr(jaccard_join, "PIECES", pieces)
+    rows = spark.range(600).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).alias("token"), F.xxhash64("id").alias("doc"))
+    rows = rows.union(rows.where("token = 0"))  # a third of the rows share a key, and rows repeat
+    got = jaccard_join.with_least(rows, ["token"], {"low": F.col("doc"), "high": F.col("doc").bitwiseXOR(F.lit(-1))}, "doc").collect()
+    by = defaultdict(list)
+    for r in rows.collect():
+        by[r["token"]].append(r["doc"])
+    want = Counter((k, d, min(v), min(~x for x in v)) for k, v in by.items() for d in v)
+    assert Counter((r["token"], r["doc"], r["low"], r["high"]) for r in got) == want
+    assert not jaccard_join.with_least(rows.limit(0), ["token"], {"low": F.col("doc")}, "doc").collect()
+
+
 def test_substring_dedup_equals_brute_force(spark, given):
     assert as_dict(substring_dedup.op8_substring_dedup(spark, SF)) == brute_cut(given)
 
