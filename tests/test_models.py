@@ -129,3 +129,11 @@ def test_a_failed_run_goes_on_where_it_stopped(spark, tmp_path):
     second = calls()
     assert len(first) > 20 and 200 <= len(second) < 200 + 60  # only what was not committed is asked again
     assert generate_resumable(rows, config, journal).count() == 200 and len(calls()) == len(second)
+
+
+def test_batches_are_bounded_by_bytes(spark):
+    """Ten thousand long texts would be too many for a worker at once."""
+    register_generator("total", lambda options: lambda prompts, params: [str(sum(map(len, prompts)))] * len(prompts), chat=False)
+    rows = spark.range(0, 40, 1, 1).select("id", F.repeat(F.lit("x"), 1 << 20).alias("text"))
+    totals = [int(r.output) for r in generate(rows, GenerationConfig("total"), text="text").select("output").collect()]
+    assert len(totals) == 40 and max(totals) <= 8 << 20
