@@ -242,3 +242,26 @@ def test_row_ids_follow_the_files(spark, tmp_path):
         assert [r.value for r in got.orderBy("id").collect()] == lines
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+@pytest.mark.parametrize("pivots,fan", [(None, 2048), (12, 2048), (60, 8)])
+def test_a_query_is_moved_once_a_slab(spark, monkeypatch, pivots, fan):
+    """Not once for each group that it visits; and slabs of any number give the exact result."""
+    monkeypatch.setattr(neighbours, "TILE_ROWS", 20)
+    monkeypatch.setattr(neighbours, "FAN", fan)
+    monkeypatch.setattr(neighbours, "SIDES", 3)
+    rng = np.random.default_rng(11)
+    docs, queries = (as_float32(list(enumerate(rng.normal(size=(n, 8))))) for n in (500, 150))
+    moved, original = [], neighbours._sizes
+
+    def counting(visits, cells):
+        moved.append(visits.agg(F.sum(F.size("cells")), F.sum(F.size("parts"))).first())
+        return original(visits, cells)
+
+    monkeypatch.setattr(neighbours, "_sizes", counting)
+    for tiles in (1, 4):
+        monkeypatch.setattr(neighbours, "SLAB_TILES", tiles)
+        assert found_by(neighbours.top_k(frame(spark, queries, "q"), frame(spark, docs, "d"), 5, pivots=pivots)) == brute_force(queries, docs, 5)
+    if pivots == 12:
+        cells, slabs = moved[-1]
+        assert cells > 150 * 5 and slabs <= 150 * 7  # 12 groups in 7 blocks of 80 rows at most
