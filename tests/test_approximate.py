@@ -57,3 +57,22 @@ def test_odd_vectors(spark):
     matched = approximate.top_k(asked, corpus, 4)
     assert matched.count() == 5 and found_by(matched) == {5: [(1, 1.0), (2, 0.6)]}
     assert approximate.top_k(asked, corpus.where("false"), 4).where("size(neighbours) = 0").count() == 5
+
+
+def test_candidates_stay_in_their_slab(spark, monkeypatch):
+    """Of a query's k * rerank candidates only the k best of each slab leave a task, with exact scores."""
+    for module in (approximate, neighbours):
+        monkeypatch.setattr(module, "TILE_ROWS", 50)
+    monkeypatch.setattr(neighbours, "SLAB_TILES", 4)
+    monkeypatch.setattr(neighbours, "SIDES", 2)
+    docs, queries = clustered(900, 10, 3, copies=30), [(i + 9000, v) for i, v in clustered(120, 10, 4)]
+    corpus, asked = frame(spark, docs, "d"), frame(spark, queries, "q")
+    quantiser = approximate.fit(corpus, 900, parts=4)
+    quantiser.probes = len(quantiser.centroids)
+    held = approximate.build(corpus, quantiser).join(corpus, "d")
+    rows = approximate._found(asked, held, quantiser, 900, 5, 100).collect()
+    assert 120 * 5 <= len(rows) <= 120 * 5 * 9
+    vectors = {**dict(docs), **dict(queries)}
+    assert all(abs(r.score - np.dot(vectors[r.q], vectors[r.d])) < 1e-6 for r in rows)
+    got = found_by(approximate.top_k(asked, corpus, 5, rerank=180, quantiser=quantiser))
+    assert got == brute_force(queries, docs, 5)
