@@ -52,3 +52,11 @@ def test_hard_negatives_need_an_embedder(spark, tmp_path):
         datasets.build(spark, "short_short", config)
     with pytest.raises(ValueError):
         datasets.build_all(spark, {"other": config})
+
+
+def test_steps_are_compressed_and_their_scratch_tables_go(spark, tmp_path):
+    rows = datasets.build(spark, "short_long", config_for(tmp_path / "steps", "short_long")).collect()
+    assert len(rows) == 40
+    for step in ("brainstorm", "samples", "triples", "final"):
+        parts = [p.name for p in (tmp_path / "steps" / f"short_long_{step}").iterdir() if p.name.startswith("part-")]
+        assert parts and all(name.endswith(".json.gz") for name in parts), step
