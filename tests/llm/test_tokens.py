@@ -124,3 +124,47 @@ def test_added_tokens_in_a_text_are_what_the_library_makes_of_them(spark):
     assert got == dict(enumerate(ids))
     pieces = {r.doc_id: (r.length, r.ids_crc32) for r in packing.pieces(docs).collect()}
     assert pieces == {k: (len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for k, x in enumerate(ids)}
+
+
+class Counting:
+    """A tokenizer that counts the calls of its library."""
+
+    def __init__(self, inner):
+        self.inner, self.model, self.calls = inner, self, 0
+
+    def encode_batch_fast(self, texts, **options):
+        self.calls += 1
+        return self.inner.encode_batch_fast(texts, **options)
+
+    def tokenize(self, text):
+        self.calls += 1
+        return self.inner.model.tokenize(text)
+
+
+def test_the_library_meets_a_unit_once_not_once_a_text(plain):
+    encoder = tokens.Encoder(tokens.default_path())
+    encoder.tokenizer = Counting(encoder.tokenizer)
+    marks = [".", ",", "!?", "\n", " (", ") ", " 12 "]
+    texts = [f"{a}{m}{b} {a}{m}" for a in ("One", "zwölf", "très") for b in ("or", "oder", "ou") for m in marks] * 20
+    got = encoder.encode(texts)
+    assert all(np.frombuffer(g, encoder.dtype).tolist() == plain(t) for t, g in zip(texts, got))
+    assert encoder.tokenizer.calls < 50
+    before = encoder.tokenizer.calls
+    encoder.encode(texts[::-1])
+    assert encoder.tokenizer.calls == before
+
+
+@pytest.mark.parametrize("slots", [16, 1 << 12])
+def test_units_are_cut_where_the_vocabulary_parts_a_text(plain, monkeypatch, slots):
+    import random
+    monkeypatch.setattr(tokens, "REMEMBERED", slots)  # 16: units push each other out within a batch
+    encoder, draw = tokens.Encoder(tokens.default_path()), random.Random(5)
+    atoms = [*"abZ09 .,'!-\n\t\r\x0b\x00\x1c\x7f\x85\xa0×÷ßÀɏʔ日。　“ ​᠎é́²ж🙂", " ", "'s", "'ll", "  ", "\n\n", "word", "extraordinarily", "aÃ×Ĺ", "x" * 70, "日本語" * 9]
+    texts = ["".join(draw.choices(atoms, k=draw.randint(0, 30))) for _ in range(2000)]
+    for i in range(0, len(texts), 100):
+        for text, ids in zip(texts[i:i + 100], encoder.encode(texts[i:i + 100])):
+            assert np.frombuffer(ids, encoder.dtype).tolist() == plain(text), text
+    assert len(encoder.long) <= slots >> 3 and max(map(len, encoder.long), default=0) <= tokens.LONG
+    data = "We'll go.\nNow  12×3".encode()
+    starts = tokens.units(data, np.array([0])).tolist()
+    assert [data[a:b].decode() for a, b in zip(starts, [*starts[1:], len(data)])] == ["We", "'ll", " go", ".", "\n", "Now", "  12×3"]
