@@ -168,3 +168,16 @@ def test_units_are_cut_where_the_vocabulary_parts_a_text(plain, monkeypatch, slo
     data = "We'll go.\nNow  12×3".encode()
     starts = tokens.units(data, np.array([0])).tolist()
     assert [data[a:b].decode() for a, b in zip(starts, [*starts[1:], len(data)])] == ["We", "'ll", " go", ".", "\n", "Now", "  12×3"]
+
+
+def test_records_hold_the_ids_of_awkward_units(spark):
+    from tokenizers import Tokenizer
+    untouched = Tokenizer.from_file(tokens.default_path())
+    texts = [None, "", " ", "3×4÷2 a×b", "x" * 200 + " y", "日本語の長い文字列です。" * 20, "слово, слово's", "“we’ll”\n\n 'll's\r\n", "a\xa0\n b\x85 c", "word " * 5000, "<|endoftext|>word"]
+    docs, folder = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), new_path(spark, "records")
+    index, start = binary_records.write(docs, folder), 0
+    got = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in binary_records.read_in_order(index, folder).collect()}
+    for k, text in enumerate(texts):
+        ids = np.array([*untouched.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
+        assert got[k] == (start, len(ids), zlib.crc32(ids.tobytes())), text
+        start += len(ids)
