@@ -142,8 +142,30 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("kind"), batch.column("level"), pa.array(h.view(np.int64)), pa.array(before), pa.array(earlier), batch.column("value")], ["kind", "level", "h", "before", "earlier", "value"])
 
 
+class Lookup:
+    """Values by hash. The hashes are in order, and their first bits tell where to begin to look; as hashes are spread
+    evenly, that is a step or two before the place."""
+
+    def __init__(self, h: np.ndarray, value: np.ndarray):
+        order = np.argsort(h)
+        self.size, bits = len(h), max(1, len(h).bit_length())
+        self.known, self.value = np.append(h[order], ~np.uint64(0)), np.append(value[order], 0.0)  # the last entry ends each search
+        self.shift = np.uint64(64 - bits)
+        firsts = np.arange(1 << bits, dtype=np.uint64) << self.shift
+        self.begin = np.searchsorted(h[order], firsts).astype(np.int32)
+
+    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each hash is known, and its value."""
+        i = self.begin[h >> self.shift]
+        rest = np.flatnonzero(self.known[i] < h)
+        while len(rest):
+            i[rest] += 1
+            rest = rest[self.known[i[rest]] < h[rest]]
+        return (self.known[i] == h) & (i < self.size), self.value[i]
+
+
 class Shard:
-    """The entries of a shard, by kind and level, in order of their hashes."""
+    """The entries of a shard, by kind and level."""
 
     def __init__(self, entries: pa.Table):
         kind, level = entries["kind"].to_numpy(), entries["level"].to_numpy()
@@ -151,16 +173,11 @@ class Shard:
         self.of = {}
         for key in [(0, k) for k in range(1, ORDER + 1)] + [(1, k) for k in range(1, ORDER + 1)]:
             rows = np.flatnonzero((kind == key[0]) & (level == key[1]))
-            rows = rows[np.argsort(h[rows])]
-            self.of[key] = h[rows], value[rows]
+            self.of[key] = Lookup(h[rows], value[rows])
         self.uniform = float(value[kind == 2][0])
 
     def find(self, kind: int, level: int, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        known, value = self.of[kind, level]
-        if not len(known):
-            return np.zeros(len(h), bool), np.zeros(len(h))
-        i = np.minimum(np.searchsorted(known, h), len(known) - 1)
-        return known[i] == h, value[i]
+        return self.of[kind, level].find(h)
 
     def log_probability(self, codes: np.ndarray, at: np.ndarray) -> np.ndarray:
         out, left = np.zeros(len(at)), np.arange(len(at))
@@ -172,8 +189,8 @@ class Shard:
                 known, weight = self.find(1, k, hashes(codes, k - 1, at[left] - 1))
                 out[left[known]] += weight[known]
             else:  # an unknown character
-                weight = self.of[1, 1][1]
-                out[left] += self.uniform + (weight[0] if len(weight) else 0.0)
+                weight = self.of[1, 1]
+                out[left] += self.uniform + (weight.value[0] if weight.size else 0.0)
         return out
 
 

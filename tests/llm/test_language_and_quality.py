@@ -1,3 +1,5 @@
+import numpy as np
+
 from pairsmith.llm import language_id, quality
 from pyspark.sql import functions as F
 
@@ -110,3 +112,19 @@ def test_a_language_of_one_or_two_texts_is_learnt(spark):
 def test_rows_without_an_id_are_judged_and_not_held_out(spark):
     rows = spark.createDataFrame([(None, "the thing"), (1, "the thing")], "doc_id long, text string")
     assert [r.h for r in rows.select(language_id.held_out().alias("h")).collect()] == [False, False]
+
+
+def test_lookup_goes_straight_to_the_place():
+    rng = np.random.default_rng(7)
+    most = (1 << 64) - 1
+    for h in (rng.integers(0, most, 50_000, np.uint64, endpoint=True), np.array([0, 5, most], np.uint64), np.array([7], np.uint64), np.zeros(0, np.uint64)):
+        h = np.unique(h)
+        value = rng.random(len(h))
+        lookup = quality.Lookup(h[::-1], value[::-1])
+        asked = np.concatenate([h, h + np.uint64(1), h - np.uint64(1), rng.integers(0, most, 1000, np.uint64, endpoint=True), np.array([0, most], np.uint64)])
+        seen, got = lookup.find(asked)
+        known = dict(zip(h.tolist(), value.tolist()))
+        assert seen.tolist() == [x in known for x in asked.tolist()]
+        assert got[seen].tolist() == [known[x] for x in asked.tolist() if x in known]
+        if len(h) > 1000:  # a search begins close by, however many entries there are
+            assert np.diff(lookup.begin).max() <= 12
