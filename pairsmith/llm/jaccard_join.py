@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pairsmith.llm.blocks import deal, joined, only_some, planes, shard_count, unplanes
 from pairsmith.llm.components import components
 from pairsmith.llm.tables import free_shuffles, table, unique_documents, written
-from pairsmith.llm.text import Words, grams, mix, slices
+from pairsmith.llm.text import Words, grams, mix, release, slices
 
 WORDS = 5
 SHARE = (75, 100)
@@ -207,6 +207,7 @@ def compared(docs: DataFrame, queries: DataFrame, members: DataFrame) -> DataFra
                 b += [doc] * len(good)
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+        release()
 
     ordered = rows.repartition("key", "qb", "mb").sortWithinPartitions("key", "qb", "mb", "role")
     return ordered.select("key", "qb", "mb", "role", "doc", "tokens").mapInArrow(compare, "a long, b long")

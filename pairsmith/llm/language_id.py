@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairsmith.llm.tables import bounded_batches, id_and_text, table
-from pairsmith.llm.text import mix, slices
+from pairsmith.llm.text import mix, release, slices
 
 TEXTS_PER_LANGUAGE = 2000
 MIN_TEXTS = 3
@@ -221,16 +221,15 @@ def tagged(docs: DataFrame, model: Model) -> DataFrame:
     """Every row of ``docs`` as a struct ``row``, with lang_pred and score beside it; whole rows, no join."""
     bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast((model.names, model.masks))
-    built: list[Model] = []  # by each task once
 
-    @F.pandas_udf("lang_pred string, score double")
-    def predict(texts):
-        import pandas as pd
-
-        if not built:
-            built.append(Model(*shared.value))
-        names, score = built[0].predict([t if isinstance(t, str) else None for t in texts])
-        return pd.DataFrame({"lang_pred": names, "score": score})
+    @F.arrow_udf("lang_pred string, score double")
+    def predict(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        release()
+        own = Model(*shared.value)
+        for some in texts:
+            names, score = own.predict(some.to_pylist())
+            yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(score, pa.float64())], ["lang_pred", "score"])
+        release()
 
     row = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
     return row.withColumn("found", predict(F.col("row.text"))).select("row", "found.lang_pred", "found.score")

@@ -1,5 +1,9 @@
 import corpus_pipeline
+import pyarrow as pa
+from pairsmith.llm import language_id
 from pairsmith.llm.tables import written
+from pairsmith.llm.text import slices
+from pyspark.sql import functions as F
 from test_duplicates import brute_components
 
 SF = "/root/testdata/sf0.001"
@@ -45,3 +49,27 @@ def test_languages_never_learnt_go_and_labelled_clean_documents_stay(spark):
     kept = {r.doc_id for r in corpus_pipeline.keep_known_language(spark, clean.unionByName(strange), sf).select("doc_id").collect()}
     ids = {r.doc_id for r in clean.collect()}
     assert len(ids) > 200 and kept == ids
+
+
+def test_a_worker_gives_back_what_a_task_needed(spark):
+    texts = spark.range(8, numPartitions=2).select(F.lit("some words " * 100).alias("text"))
+
+    def run(batches):
+        held = lambda: next(int(x.split()[1]) // 1024 for x in open("/proc/self/status") if x.startswith("VmRSS"))
+        for _ in slices(batches):
+            before = held()
+            rows = [[bytes(1000 + k % 7)] for k in range(100_000)]  # 100 MB in small blocks
+            last = rows[-1]  # noqa: F841  keeps the end of the heap in use
+            del rows
+        yield pa.RecordBatch.from_arrays([pa.array([held() - before])], ["mb"])
+
+    assert max(r.mb for r in texts.mapInArrow(run, "mb long").collect()) < 30
+
+
+def test_language_ids_are_those_of_the_model_and_need_no_pandas(spark, odd):
+    model = language_id.documents_model(spark, SF)
+    found = language_id.tagged(odd, model)
+    rows = [(r.row.text, r.lang_pred, r.score) for r in found.collect()]
+    names, score = model.predict([t for t, _, _ in rows])
+    assert [(n, s) for _, n, s in rows] == list(zip(names, score.tolist())) and len(rows) == odd.count()
+    assert "ArrowEvalPython" in found._jdf.queryExecution().executedPlan().toString()
