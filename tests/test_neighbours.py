@@ -265,3 +265,43 @@ def test_a_query_is_moved_once_a_slab(spark, monkeypatch, pivots, fan):
     if pivots == 12:
         cells, slabs = moved[-1]
         assert cells > 150 * 5 and slabs <= 150 * 7  # two blocks in a row hold more than 160 of the 500 rows, so there are 7 at most
+
+
+def test_equal_vectors_meet_once(spark, monkeypatch):
+    """Copies ride along with the one row of their vector that the slabs hold, and come out in the order of their ids."""
+    held, original = [], neighbours.slab_join
+
+    def counting(visits, corpus, *rest):
+        held.append(corpus.count())
+        return original(visits, corpus, *rest)
+
+    monkeypatch.setattr(neighbours, "slab_join", counting)
+    monkeypatch.setattr(neighbours, "TILE_ROWS", 40)
+    docs = [(1000 - i, v) for i, v in clustered(500, 6, 13, copies=300)]
+    docs += [(2000 + i, v) for i, v in docs[-150:]]
+    queries = clustered(60, 6, 14)
+    for pivots in (None, 9):
+        assert found_by(neighbours.top_k(frame(spark, queries, "q"), frame(spark, docs, "d"), 7, pivots=pivots)) == brute_force(queries, docs, 7)
+    assert held and set(held) == {201}
+
+
+def test_screened_products_miss_nothing(monkeypatch):
+    """Whatever the lengths of the vectors, with many scores closer to each other than 32-bit floats can tell."""
+    monkeypatch.setattr(neighbours, "PART_ROWS", 7)
+    rng = np.random.default_rng(15)
+    base = rng.normal(size=(1, 20))
+    for spread, lengths in ((1.0, 1.0), (1e-6, 1.0), (1.0, 10.0 ** rng.uniform(-6, 6, (900, 1))), (0.0, 1.0)):
+        docs = ((base + spread * rng.normal(size=(900, 20))) * lengths).astype(np.float32)
+        own = np.concatenate([base + spread * rng.normal(size=(30, 20)), np.zeros((1, 20))]).astype(np.float32).astype(float)
+        ids, every = rng.permutation(900), np.arange(31)
+        screen, best, floor = neighbours._Screen(docs), neighbours._BestOfTile(31, 5, ids), np.full(31, -np.inf)
+        for start in range(0, 900, 400):
+            best.add(*[x + y for x, y in zip(screen.top(screen.queries(own), every, start, min(start + 400, 900), ids, 5, floor), (0, start, 0.0))], floor, 20)
+        row, column, score = best.found(floor)
+        products = own @ docs.astype(float).T
+        for i in every:
+            expected = sorted((-np.rint(p * 1e6) / 1e6, d) for p, d in zip(products[i], ids))[:5]
+            got = sorted((-s, ids[c]) for c, s in zip(column[row == i], score[row == i]))
+            assert len(got) == 5 and np.allclose([s for s, _ in got], [s for s, _ in expected], rtol=1e-12, atol=2e-6)
+            if np.isscalar(lengths):  # else a last digit of a large product may depend on the order of its sum
+                assert [d for _, d in got] == [d for _, d in expected]
