@@ -6,6 +6,8 @@ import hashlib
 import json
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from pairsmith.operators.model_map import register_embedder, register_generator
 
@@ -77,17 +79,22 @@ def task_list(options: dict):
 
 def hashed_words(options: dict):
     """Counts of words in ``DIM`` digest buckets."""
-    bucket_of: dict[str, int] = {}
+    class Buckets(dict):
+        def __missing__(self, word: str) -> int:
+            if len(self) > 1_000_000:
+                self.clear()
+            self[word] = found = int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % DIM
+            return found
 
-    def bucket(word: str) -> int:
-        if word not in bucket_of:
-            if len(bucket_of) > 1_000_000:
-                bucket_of.clear()
-            bucket_of[word] = int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % DIM
-        return bucket_of[word]
+    bucket = Buckets().__getitem__
 
     def run(texts: list[str]) -> np.ndarray:
-        return np.stack([np.bincount([bucket(w) for w in t.split(" ")], minlength=DIM) for t in texts]).astype(float)
+        """Each different word of a batch is looked up once."""
+        words = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        row = np.repeat(np.arange(len(texts)), words.value_lengths().to_numpy())
+        coded = words.flatten().dictionary_encode()
+        buckets = np.fromiter(map(bucket, coded.dictionary.to_numpy(zero_copy_only=False)), np.int64, len(coded.dictionary))
+        return np.bincount(row * DIM + buckets[coded.indices.to_numpy()], minlength=len(texts) * DIM).reshape(-1, DIM).astype(float)
 
     return run
 

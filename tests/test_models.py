@@ -137,3 +137,19 @@ def test_batches_are_bounded_by_bytes(spark):
     rows = spark.range(0, 40, 1, 1).select("id", F.repeat(F.lit("x"), 1 << 20).alias("text"))
     totals = [int(r.output) for r in generate(rows, GenerationConfig("total"), text="text").select("output").collect()]
     assert len(totals) == 40 and max(totals) <= 8 << 20
+
+
+def test_hashed_words_counts_every_word():
+    import hashlib
+    from collections import Counter
+
+    import numpy as np
+
+    from checks.stand_ins import DIM, hashed_words
+
+    texts = ["", " ", "a  b", " a", "a ", "\n x\ty", "é ü z", "a b a", "b"]
+    expected = np.zeros((len(texts), DIM))
+    for i, text in enumerate(texts):
+        for word, n in Counter(text.split(" ")).items():
+            expected[i, int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % DIM] += n
+    assert np.array_equal(hashed_words({})(texts), expected)
