@@ -60,3 +60,19 @@ def test_steps_are_compressed_and_their_scratch_tables_go(spark, tmp_path):
     for step in ("brainstorm", "samples", "triples", "final"):
         parts = [p.name for p in (tmp_path / "steps" / f"short_long_{step}").iterdir() if p.name.startswith("part-")]
         assert parts and all(name.endswith(".json.gz") for name in parts), step
+
+
+def test_triples_are_written_once_before_mining(spark, tmp_path, monkeypatch):
+    from checks import queries
+    from pairsmith.operators import negatives
+
+    texts = [f"some text with number {i % 9}" for i in range(20)]
+    spark.createDataFrame([(i, t, "en", "web") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, f"name {i}", "kind", "brand") for i in range(12)], "p_partkey long, p_name string, p_type string, p_brand string").write.parquet(f"{tmp_path}/part.parquet")
+    written = []
+    for module in (queries, negatives):
+        original = module.materialise
+        monkeypatch.setattr(module, "materialise", lambda df, label, original=original: written.append(label) or original(df, label))
+    rows = queries.short_long_pairs(spark, str(tmp_path)).collect()
+    assert sorted(r.id for r in rows) == list(range(20)) and all(r.positive in texts and r.negative in texts for r in rows)
+    assert written.count("triples") == 1
