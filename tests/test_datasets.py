@@ -62,6 +62,22 @@ def test_steps_are_compressed_and_their_scratch_tables_go(spark, tmp_path):
         assert parts and all(name.endswith(".json.gz") for name in parts), step
 
 
+def test_lists_are_sorted_once_for_all_types(spark, tmp_path, monkeypatch):
+    """Passages and names of parts are the same for the six types."""
+    from checks import queries
+
+    spark.createDataFrame([(i, f"text {i % 7}", "en", "web") for i in range(20)], "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(f"name {i % 3}",) for i in range(5)], "p_name string").write.parquet(f"{tmp_path}/part.parquet")
+    made, original = [], queries.from_table
+    monkeypatch.setattr(queries, "from_table", lambda df, column: made.append(column) or original(df, column))
+    monkeypatch.setattr(queries.datasets, "build_all", lambda spark, configs: configs)
+    configs = queries.dataset_all(spark, str(tmp_path))
+    assert sorted(made) == ["p_name", "text"] and list(configs) == list(datasets.RUN_ORDER)
+    for name, config in configs.items():
+        assert (config.n_brainstorms, config.n_samples, len(config.schema.args["passage"])) == (5, 20, 7)
+        assert (config.brainstorm is not None) == (name in datasets.BRAINSTORMED)
+
+
 def test_triples_are_written_once_before_mining(spark, tmp_path, monkeypatch):
     from checks import queries
     from pairsmith.operators import negatives
@@ -76,3 +92,16 @@ def test_triples_are_written_once_before_mining(spark, tmp_path, monkeypatch):
     rows = queries.short_long_pairs(spark, str(tmp_path)).collect()
     assert sorted(r.id for r in rows) == list(range(20)) and all(r.positive in texts and r.negative in texts for r in rows)
     assert written.count("triples") == 1
+
+
+def test_steps_take_a_fast_level_of_gzip(spark, tmp_path):
+    """Compressing took longer than what was compressed; the level is above the fastest, and the rows are the same."""
+    import gzip
+
+    from pairsmith.sources import files
+
+    rows = spark.createDataFrame([(i, " ".join(hashlib.md5(f"{i} {j % 40}".encode()).hexdigest()[:5] for j in range(200))) for i in range(300)], "id long, text string").coalesce(1)
+    files.write_table(rows, str(tmp_path / "steps"), "jsonl", compression="gzip")
+    part = next(p for p in (tmp_path / "steps").iterdir() if p.name.endswith(".json.gz"))
+    assert len(gzip.compress(gzip.decompress(part.read_bytes()), 6)) < part.stat().st_size
+    assert sorted(files.read_jsonl(spark, str(tmp_path / "steps"), rows.schema).collect()) == sorted(rows.collect())
